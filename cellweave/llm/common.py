@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -34,6 +35,11 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def sweep(self) -> None:
+        """Lets go of shuffle files of frames that nothing refers to any more."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         """Removes tables that no later step reads."""
         jvm = self.spark.sparkContext._jvm

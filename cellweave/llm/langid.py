@@ -190,6 +190,19 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("shares", T.MapType(T.StringType(), T.DoubleType()))]))
 
 
+def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of docs, columns as they are, whose text has letters and one language with at least that share."""
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, lang=lang, text=text))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for t in chunks(batches, text, BLOCK):
+            pred, score, _ = m.predict(t.column(text).to_pylist())
+            yield from t.filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_())).to_batches()
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict_all(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document; the held-out third is never learned from."""
     model = train(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))

@@ -66,8 +66,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, share: float = SHARE,
     queries = work.keep(good.filter(is_query).withColumn("uid", F.monotonically_increasing_id()))
     n_blocks, n_query_blocks = max(1, ceil(good.count() / BLOCK_ROWS)), max(1, ceil(queries.count() / BLOCK_QUERIES))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = good.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(n_blocks))).withColumn("query_block", each(n_query_blocks))
-    right = queries.withColumn("query_block", F.pmod(F.xxhash64(F.lit(2), "uid"), F.lit(n_query_blocks)).cast("int")).withColumn("block", each(n_blocks).cast("long"))
+    left = good.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(n_blocks)).cast("int")).withColumn("query_block", each(n_query_blocks))
+    right = queries.withColumn("query_block", F.pmod(F.xxhash64(F.lit(2), "uid"), F.lit(n_query_blocks)).cast("int")).withColumn("block", each(n_blocks))
     sent = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def search(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, mixing, permutation, urlrules, vectors, warc, wordpiece
+from . import bpe, jaccard, langid, licenses, mixing, permutation, urlrules, vectors, warc, wordpiece
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_url_filters": op7_url_filters,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
 }
