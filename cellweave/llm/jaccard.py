@@ -229,6 +229,18 @@ def could_link(a: str, b: str, percent: int) -> str:
     return f"{fit} AND (place{a} < 0 OR {100 + percent} * ({most}) >= {percent} * (size{a} + size{b}))"
 
 
+def supported(met: DataFrame, light: int, percent: int, part: int = 1) -> DataFrame:
+    """Of the pairs (a, b) that meet in lists, those that meet in enough of them.
+
+    Let A's prefix end before B's in the global order. What A's prefix shares with B lies in B's prefix,
+    so the overlap is at most the prefixes' shared n-grams plus the rest of A. A pair with a heavy set that
+    meets in fewer inverted lists than the threshold then asks for can't link. part > 1 divides that number,
+    where not all lists of a pair are at hand."""
+    m = met.groupBy("a", "b").agg(F.sum(F.when(F.col("place") >= 0, 1).otherwise(0)).alias("m"), F.max("low").alias("low"), F.max("high").alias("high"))
+    need = f"ceil({percent} * (low + high) / {100 + percent}) - ceil({percent} * high / 100) + 1"
+    return m.filter(f"high <= {light} OR {part} * m >= {need}").select("a", "b")
+
+
 class Join:
     def __init__(self, docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", width: int = WORDS_PER_GRAM):
         self.docs, self.percent, self.key, self.text, self.width = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()), percent, key, text, width
@@ -251,6 +263,7 @@ class Join:
         admitted = F.expr("1") == F.try_mod(F.floor(byte / F.pow(F.lit(2), s % 8)), F.lit(2)).cast("int")
         some = self.docs.select(F.col(key).alias("d"), F.col(text).alias("text")).filter(admitted)
         texts = work.keep(some.join(ids, "d", "left_semi"))
+        work.sweep()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in chunks(batches, "text_b", BLOCK):
@@ -294,8 +307,8 @@ class Join:
         lists = work.keep(shared_lists(postings(self.docs, level, self.light, percent, self.text, self.width)))
         work.sweep()
         order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-        near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"))
-        near = work.keep(near.select(*order).distinct())
+        near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"), "place", F.least("size", "size0").alias("low"), F.greatest("size", "size0").alias("high"))
+        near = work.keep(supported(near.select(*order, "place", "low", "high"), self.light, percent, 3))
         links = self.check(near, nodes)
         comp = components(links, work)
         work.sweep()
@@ -305,9 +318,11 @@ class Join:
         rest = work.keep(rest)
         open_ = rest.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("list")
         rest = work.keep(rest.join(open_, "list", "left_semi"))
+        work.drop(lists)
+        work.sweep()
         x, y = (rest.toDF("list", f"sig{k}", f"size{k}", f"place{k}", f"c{k}") for k in "xy")
-        far = x.join(y, "list").filter(f"cx < cy AND {could_link('x', 'y', percent)}").select(F.col("sigx").alias("a"), F.col("sigy").alias("b"))
-        far = work.keep(far.select(*order).distinct().join(near, ["a", "b"], "left_anti"))
+        far = x.join(y, "list").filter(f"cx < cy AND {could_link('x', 'y', percent)}").select(F.col("sigx").alias("a"), F.col("sigy").alias("b"), F.col("placex").alias("place"), F.least("sizex", "sizey").alias("low"), F.greatest("sizex", "sizey").alias("high"))
+        far = work.keep(supported(far.select(*order, "place", "low", "high"), self.light, percent).join(near, ["a", "b"], "left_anti"))
         more = self.check(far, nodes)
         if not more.isEmpty():
             comp = components(links.union(more), work)
