@@ -10,8 +10,8 @@ Jaccard similarity reaches the threshold share at least k n-grams of their (size
   whose inverted lists are scanned.
 
 The boundary is the size at which subsets listed plus lists scanned cost least, by the corpus's sizes and
-the sketch's mean list length. In each list, sets sorted by size first meet their neighbour only; what
-these exact checks join is one component, and then every pair of a list whose sets are still in different
+the sketch's mean list length. In each list, sets sorted by size first meet their leader only (the
+smallest set of near enough size); what these exact checks join is one component, and then every pair of a list whose sets are still in different
 components, and that passes the length and positional filters, is checked exactly. So each link is either
 found or lies within a component that is already joined: no pair is capped, and the pairs inside a group
 of thousands of near copies are not listed.
@@ -182,15 +182,28 @@ def postings(docs: DataFrame, level: np.ndarray, light: int, percent: int, text:
     return docs.select(text).mapInArrow(run, "list long, sig long, size int, place int")
 
 
-def shared_lists(post: DataFrame) -> DataFrame:
-    """The rows of lists of at least two sets, each with its predecessor by size (null for the first)."""
+def leaders(same: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """For rows sorted by list and size, the first row of the list whose size is near enough; of others, the row itself."""
+    at = np.arange(len(same))
+    mark = ~same
+    while True:
+        lead = np.maximum.accumulate(np.where(mark, at, 0))
+        far = 100 * size[lead].astype(np.int64) < percent * size.astype(np.int64)
+        if not far.any():
+            return lead
+        mark = mark | far & ~np.r_[False, far[:-1] & (lead[1:] == lead[:-1])]
+
+
+def shared_lists(post: DataFrame, percent: int) -> DataFrame:
+    """The rows of lists of at least two sets, each with its leader (null for leaders)."""
     names = ["list", "sig", "size", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None  # the last row so far, and whether it has been a successor
+        held: list[np.ndarray] | None = None  # the last row so far, not told yet, behind its leader, if that is another row
 
-        def out(cols: list[np.ndarray], prior: list[np.ndarray], has: np.ndarray, pick: np.ndarray) -> pa.RecordBatch:
-            arrays = [pa.array(c[pick]) for c in cols] + [pa.array(p[pick], mask=~has[pick]) for p in prior[1:]]
+        def out(cols: list[np.ndarray], lead: np.ndarray, pick: np.ndarray) -> pa.RecordBatch:
+            own = (lead == np.arange(len(lead)))[pick]
+            arrays = [pa.array(c[pick]) for c in cols] + [pa.array(c[lead][pick], mask=own) for c in cols[1:]]
             return pa.RecordBatch.from_arrays(arrays, names=[*names, "sig0", "size0", "place0"])
 
         for b in batches:
@@ -199,24 +212,22 @@ def shared_lists(post: DataFrame) -> DataFrame:
                 cols = [np.r_[x, c] for x, c in zip(held, cols, strict=True)]
             if not len(cols[0]):
                 continue
-            old = 2 if held is not None and len(held[0]) == 2 else 1 if held is not None else 0
-            same = np.r_[False, cols[0][1:] == cols[0][:-1]]
-            keep = ~(same & np.r_[False, cols[1][1:] == cols[1][:-1]])
+            old = len(held[0]) if held is not None else 0
+            keep = ~np.r_[False, (cols[0][1:] == cols[0][:-1]) & (cols[1][1:] == cols[1][:-1])]
             keep[:old] = True
             cols = [c[keep] for c in cols]
             same = np.r_[False, cols[0][1:] == cols[0][:-1]]
-            follows = np.r_[same[1:], False]
-            prior = [np.r_[c[:1], c[:-1]] for c in cols]
-            # of two held rows the first is told already; the last row waits, with its predecessor, for what follows
-            pick = same | follows
-            pick[: 1 if old == 2 else 0] = False
+            lead = leaders(same, cols[2], percent)
+            pick = same | np.r_[same[1:], False]
+            pick[: old - 1 if old else 0] = False
             pick[-1] = False
             if pick.any():
-                yield out(cols, prior, same, pick)
-            held = [c[-2:] if same[-1] else c[-1:] for c in cols]
+                yield out(cols, lead, pick)
+            ends = [lead[-1] if lead[-1] != len(same) - 1 else lead[-2], -1] if same[-1] else [-1]
+            held = [c[ends] for c in cols]
         if held is not None and len(held[0]) == 2:
-            prior = [np.r_[c[:1], c[:-1]] for c in held]
-            yield out(held, prior, np.array([False, True]), np.array([False, True]))
+            same = np.array([False, True])
+            yield out(held, leaders(same, held[2], percent), same)
 
     ordered = post.repartition("list").sortWithinPartitions("list", "size", "sig")
     return ordered.mapInArrow(run, "list long, sig long, size int, place int, sig0 long, size0 int, place0 int")
@@ -304,7 +315,7 @@ class Join:
         total = sketch.sum()
         length = max(1.0, (sketch**2).sum() / total - total / SKETCH - 1) if total else 1.0
         self.light = boundary(sizes, length, percent)
-        lists = work.keep(shared_lists(postings(self.docs, level, self.light, percent, self.text, self.width)))
+        lists = work.keep(shared_lists(postings(self.docs, level, self.light, percent, self.text, self.width), percent))
         work.sweep()
         order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
         near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"), "place", F.least("size", "size0").alias("low"), F.greatest("size", "size0").alias("high"))
