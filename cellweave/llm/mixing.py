@@ -77,11 +77,13 @@ def share(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 def budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
     """domain, lang, source, total and budget of each leaf, from domain, lang, source and total."""
     leaves = leaves.withColumn("supply", F.col("total") * mix.epochs)
-    parents = leaves.agg((F.coalesce(F.sum("total"), F.lit(0)) * mix.percent / 100).cast("long").alias("budget")).withColumn("_one", F.lit(1))
     keys: list[str] = []
     for level in LEVELS:
         nodes = leaves.groupBy(*keys, level).agg(F.sum("supply").alias("supply"), F.sum("total").alias("total")).withColumn("weight", mix.weight(level))
-        nodes = nodes.join(parents, keys) if keys else nodes.withColumn("_one", F.lit(1)).join(parents, "_one").drop("_one")
+        if keys:
+            nodes = nodes.join(parents, keys)
+        else:  # the domains share what the whole corpus allows
+            nodes = nodes.withColumn("_all", F.sum("total").over(Window.partitionBy(F.lit(0)))).withColumn("budget", F.expr(f"(_all * {mix.percent}) div 100")).drop("_all")
         got = share(nodes, keys, level)
         keys = [*keys, level]
         parents = got.select(*keys, "budget")
