@@ -33,7 +33,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 NEAR = "\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf"
 NEAR_LETTER, NEAR_NUMBER, NEAR_SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 NEAR_WORDS = rf" ?[{NEAR_LETTER}]+| ?[{NEAR_NUMBER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{NEAR_SPACE}{NEAR_LETTER}{NEAR_NUMBER}]+|[{NEAR_SPACE}]+(?![^{NEAR_SPACE}])|[{NEAR_SPACE}]+"
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+BLOCK = 4 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -183,7 +184,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for t in chunks(batches, text):
+        for t in chunks(batches, text, BLOCK):
             got = pa.array([e.ids(w) for w in e.encode_batch(t.column(text).to_pylist())], pa.list_(pa.int32()))
             yield from t.append_column(ids, got).to_batches()
 
@@ -208,7 +209,7 @@ def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for t in chunks(batches, text):
+        for t in chunks(batches, text, BLOCK):
             words = e.encode_batch(t.column(text).to_pylist())
             seen = set(chain.from_iterable(words))
             size = {w: len(e.cache[w]) for w in seen}

@@ -41,7 +41,7 @@ SKETCH = 1 << 16
 #: No set above this size is light: its subsets would always cost more.
 LARGEST_LIGHT = 64
 BITMAP = 1 << 20
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 _odd = np.uint64(0x9E3779B97F4A7C15)
 _back = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

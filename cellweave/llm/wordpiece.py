@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from .bpe import byte_alphabet
 from .common import chunks
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+BLOCK = 4 << 20
 #: Words up to so many bytes run side by side; longer ones one by one.
 SIDE_BY_SIDE = 64
 
@@ -153,7 +154,7 @@ def piece_counts(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(path)
-        for t in chunks(batches, text):
+        for t in chunks(batches, text, BLOCK):
             words = [x.split() if x else [] for x in t.column(text).to_pylist()]
             a.learn(set(chain.from_iterable(words)))
             n = [sum(map(a.cache.__getitem__, w)) for w in words]
