@@ -11,7 +11,8 @@ Jaccard similarity reaches the threshold share at least k n-grams of their (size
 
 The boundary is the size at which subsets listed plus lists scanned cost least, by the corpus's sizes and
 the sketch's mean list length. In each list, sets sorted by size first meet their leader only (the
-smallest set of near enough size); what these exact checks join is one component, and then every pair of a list whose sets are still in different
+smallest set of near enough size), then for some rounds a few delegates of other components; what these
+exact checks join is one component. Then every pair of a list whose sets are still in different
 components, and that passes the length and positional filters, is checked exactly. So each link is either
 found or lies within a component that is already joined: no pair is capped, and the pairs inside a group
 of thousands of near copies are not listed.
@@ -29,7 +30,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, chunks, mix64
@@ -41,6 +42,9 @@ SKETCH = 1 << 16
 #: No set above this size is light: its subsets would always cost more.
 LARGEST_LIGHT = 64
 BITMAP = 1 << 20
+#: Rounds in which components meet by delegates before all that is left meets, and delegates of a component that a set is checked against.
+ROUNDS = 2
+DELEGATES = 8
 BLOCK = 2 << 20
 
 _odd = np.uint64(0x9E3779B97F4A7C15)
@@ -240,6 +244,11 @@ def could_link(a: str, b: str, percent: int) -> str:
     return f"{fit} AND (place{a} < 0 OR {100 + percent} * ({most}) >= {percent} * (size{a} + size{b}))"
 
 
+def least_lists(percent: int) -> str:
+    """SQL for the number of inverted lists in which sets of sizes low and high must meet; see supported()."""
+    return f"(ceil({percent} * (low + high) / {100 + percent}) - ceil({percent} * high / 100) + 1)"
+
+
 def supported(met: DataFrame, light: int, percent: int, part: int = 1) -> DataFrame:
     """Of the pairs (a, b) that meet in lists, those that meet in enough of them.
 
@@ -248,8 +257,7 @@ def supported(met: DataFrame, light: int, percent: int, part: int = 1) -> DataFr
     meets in fewer inverted lists than the threshold then asks for can't link. part > 1 divides that number,
     where not all lists of a pair are at hand."""
     m = met.groupBy("a", "b").agg(F.sum(F.when(F.col("place") >= 0, 1).otherwise(0)).alias("m"), F.max("low").alias("low"), F.max("high").alias("high"))
-    need = f"ceil({percent} * (low + high) / {100 + percent}) - ceil({percent} * high / 100) + 1"
-    return m.filter(f"high <= {light} OR {part} * m >= {need}").select("a", "b")
+    return m.filter(f"high <= {light} OR {part} * m >= {least_lists(percent)}").select("a", "b")
 
 
 class Join:
@@ -299,7 +307,34 @@ class Join:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a[ok]), "b": pa.array(b[ok])})
 
         right = pairs.join(texts.toDF("db", "text_b"), "db")
-        return work.keep(right.join(texts.toDF("da", "text_a"), "da").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+        found = work.keep(right.join(texts.toDF("da", "text_a"), "da").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+        work.drop(pairs, ids, texts)
+        return found
+
+    def unjoined(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
+        """list, sig, size, place and component c of the rows of lists whose sets aren't all in one component; others have nothing more to tell."""
+        named = rows.select("list", "sig", "size", "place").join(comp.toDF("sig", "component"), "sig", "left").withColumn("c", F.coalesce("component", "sig")).drop("component")
+        named = self.work.keep(named)
+        mixed = named.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("list")
+        out = self.work.keep(named.join(mixed, "list", "left_semi"))
+        self.work.drop(named)
+        return out
+
+    def delegates(self, rows: DataFrame, n: int) -> DataFrame:
+        """Pairs (a, b) of a set and a member of another component, a few for each such component.
+
+        In each list the sets meet one delegate, drawn anew by round and list, so that a set gets to know
+        many members of a large component. How often it meets the component, whichever the member, stands
+        for the pair's own count of lists. These pairs only join components sooner; none is left out for good."""
+        draw = F.struct(F.xxhash64(F.lit(n), "list", "sig"), F.col("sig").alias("sig0"), F.col("size").alias("size0"), F.col("place").alias("place0"), F.col("c").alias("c0"))
+        drawn = rows.groupBy("list").agg(F.min(draw).alias("d")).select("list", "d.sig0", "d.size0", "d.place0", "d.c0")
+        met = rows.join(drawn, "list").filter(f"c != c0 AND {could_link('', '0', self.percent)}")
+        met = met.groupBy("sig", "c0", "sig0").agg(F.sum(F.when(F.col("place") >= 0, 1).otherwise(0)).alias("m"), F.max(F.least("size", "size0")).alias("low"), F.max(F.greatest("size", "size0")).alias("high"))
+        # a set has no more such rows than prefix n-grams
+        of_set = Window.partitionBy("sig", "c0")
+        met = met.withColumn("all", F.sum("m").over(of_set)).withColumn("nth", F.row_number().over(of_set.orderBy(F.desc("m"), "sig0")))
+        met = met.filter(f"nth <= {DELEGATES} AND (high <= {self.light} OR 3 * all >= {least_lists(self.percent)})")
+        return met.select(F.least("sig", "sig0").alias("a"), F.greatest("sig", "sig0").alias("b")).distinct()
 
     def classes(self) -> tuple[DataFrame, DataFrame]:
         """Of every document with a text and id: (doc, size, sig); of every linked set: (node, component), both signatures."""
@@ -318,22 +353,30 @@ class Join:
         lists = work.keep(shared_lists(postings(self.docs, level, self.light, percent, self.text, self.width), percent))
         work.sweep()
         order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-        near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"), "place", F.least("size", "size0").alias("low"), F.greatest("size", "size0").alias("high"))
-        near = work.keep(supported(near.select(*order, "place", "low", "high"), self.light, percent, 3))
-        links = self.check(near, nodes)
+        span = [F.least("size", "size0").alias("low"), F.greatest("size", "size0").alias("high")]
+        near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"), "place", *span)
+        asked = work.keep(supported(near.select(*order, "place", "low", "high"), self.light, percent, 3))
+        links = self.check(asked, nodes)
         comp = components(links, work)
-        work.sweep()
-        # lists whose sets are in one component by now have nothing more to tell
-        label = F.coalesce("component", "sig")
-        rest = lists.select("list", "sig", "size", "place").join(comp.toDF("sig", "component"), "sig", "left").withColumn("c", label).drop("component")
-        rest = work.keep(rest)
-        open_ = rest.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("list")
-        rest = work.keep(rest.join(open_, "list", "left_semi"))
+        rows = work.keep(lists.select("list", "sig", "size", "place"))
         work.drop(lists)
+        for n in range(ROUNDS):
+            old, rows = rows, self.unjoined(rows, comp)
+            met = work.keep(self.delegates(rows, n).join(asked, ["a", "b"], "left_anti"))
+            more = self.check(met, nodes)
+            work.drop(old)
+            work.sweep()
+            asked = asked.union(met)
+            if more.isEmpty():
+                break
+            links = links.union(more)
+            comp = components(links, work)
+        old, rows = rows, self.unjoined(rows, comp)
+        work.drop(old)
         work.sweep()
-        x, y = (rest.toDF("list", f"sig{k}", f"size{k}", f"place{k}", f"c{k}") for k in "xy")
+        x, y = (rows.toDF("list", f"sig{k}", f"size{k}", f"place{k}", f"c{k}") for k in "xy")
         far = x.join(y, "list").filter(f"cx < cy AND {could_link('x', 'y', percent)}").select(F.col("sigx").alias("a"), F.col("sigy").alias("b"), F.col("placex").alias("place"), F.least("sizex", "sizey").alias("low"), F.greatest("sizex", "sizey").alias("high"))
-        far = work.keep(supported(far.select(*order, "place", "low", "high"), self.light, percent).join(near, ["a", "b"], "left_anti"))
+        far = work.keep(supported(far.select(*order, "place", "low", "high"), self.light, percent).join(asked, ["a", "b"], "left_anti"))
         more = self.check(far, nodes)
         if not more.isEmpty():
             comp = components(links.union(more), work)
