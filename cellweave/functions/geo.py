@@ -71,6 +71,13 @@ def tile_url(base: str, dataset: str, x: Column, y: Column, zoom: int, ext: str)
     return F.concat(F.lit(f"{base.rstrip('/')}/{dataset.strip('/')}/{zoom}/"), x.cast("string"), F.lit("/"), y.cast("string"), F.lit("." + ext.lstrip(".")))
 
 
+def tile_range(spark: SparkSession, zoom: int, x_min: int, y_min: int, x_max: int, y_max: int) -> DataFrame:
+    """Tiles of an inclusive range, with where each one's pixels start in the mosaic."""
+    wide = x_max - x_min + 1
+    t = spark.range(wide * (y_max - y_min + 1)).select(F.lit(zoom).alias("zoom"), (F.col("id") % wide + x_min).cast("int").alias("tile_x"), (F.expr(f"id div {wide}") + y_min).cast("int").alias("tile_y"))
+    return t.withColumns({"row_offset": (F.col("tile_y").cast("long") - y_min) * 256, "col_offset": (F.col("tile_x").cast("long") - x_min) * 256})
+
+
 def snap_bounds(bounds: tuple[float, float, float, float], resolution: float, snap: float) -> tuple[float, float, float, float]:
     """Outward to the lattice, then east and north to whole cells."""
     x0, y0 = math.floor(bounds[0] / snap) * snap, math.floor(bounds[1] / snap) * snap

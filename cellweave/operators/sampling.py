@@ -83,3 +83,9 @@ def majority(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """The most frequent value of each group; the lowest of equal ones."""
     n = df.groupBy(*group, value).agg(F.count("*").alias("n"))
     return n.groupBy(*group).agg(F.max(F.struct("n", (-F.col(value)).alias("v"))).alias("_m")).select(*group, (-F.col("_m.v")).alias(value), F.col("_m.n").alias("n"))
+
+
+def class_shares(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Share of each value within its group."""
+    n = df.groupBy(*group, value).agg(F.count("*").alias("n"))
+    return n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*group))).drop("n")

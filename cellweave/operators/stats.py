@@ -28,6 +28,11 @@ def sector(c: Column) -> Column:
     return F.floor(F.pmod(c + 22.5, F.lit(360.0)) / 45).cast("int")
 
 
+def coverage(c: Column) -> Column:
+    """Share of cells with a value; 0 where there are no cells."""
+    return F.coalesce(F.try_divide(F.count(c), F.count("*")), F.lit(0.0))
+
+
 def shares(df: DataFrame, key: str, names: dict[int, str]) -> DataFrame:
     """class_id, class_name, n and fraction of each named class, zero if absent."""
     rows = ", ".join(f"({i}, '{n}')" for i, n in names.items())

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import rules, sampling, stats, terrain
+from ..operators import checks, display, learning, rules, sampling, stats, terrain
 from ..sources import readers
 
 W = 50
@@ -222,3 +222,101 @@ def prj_05(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").select("event_id", F.when(i % 3 == 0, F.concat((i % 40).cast("string"), F.lit(" m"))).when(i % 3 == 1, "bogus").alias("height"), F.when(i % 2 == 0, (i % 9).cast("string")).alias("levels"))
     h, source = readers.building_height(F.col("height"), F.col("levels"))
     return e.select("event_id", h.alias("height_m"), source.alias("height_source"))
+
+
+@query("agg_05_coverage", f"WITH {SURFACE} SELECT round(count(dsm) / count(*), 6) AS coverage FROM surface")
+def agg_05(spark: SparkSession, d: str) -> DataFrame:
+    return with_surface(spark, d).agg(r6(stats.coverage(F.col("dsm")), "coverage"))
+
+
+_images = ", ".join(f"({i}, '{n}')" for n, i in rules.IMAGE.items())
+
+
+@query("agg_15_image_classes", f"WITH {EVIDENCE}, d(class_id, class_name) AS (VALUES {_images}), k AS (SELECT ic::INT AS class_id, count(*) AS n, avg(conf::DOUBLE) AS c FROM evidence GROUP BY 1) SELECT class_id, class_name, coalesce(n, 0) AS n, round(coalesce(n, 0) / (SELECT count(*) FROM evidence), 6) AS fraction, round(c, 5) AS mean_confidence FROM d LEFT JOIN k USING (class_id)")
+def agg_15(spark: SparkSession, d: str) -> DataFrame:
+    e = evidence(spark, d).select(F.col("image_class").cast("int").alias("class_id"), F.col("image_confidence").cast("double").alias("c"))
+    n = stats.shares(e, "class_id", {i: n for n, i in rules.IMAGE.items()}).withColumn("fraction", F.round("fraction", 6))
+    return n.join(e.groupBy("class_id").agg(F.round(F.avg("c"), 5).alias("mean_confidence")), "class_id", "left")
+
+
+@query("agg_18_tile_histogram", f"WITH {FUSED}, k AS (SELECT row // 5 AS tile_row, col // 5 AS tile_col, split_part(told, '|', 1)::INT AS fused_class, count(*) AS n FROM f GROUP BY ALL) SELECT tile_row, tile_col, fused_class, round(n / sum(n) OVER (PARTITION BY tile_row, tile_col), 6) AS share FROM k")
+def agg_18(spark: SparkSession, d: str) -> DataFrame:
+    t = fuse(spark, d).select(F.expr("row div 5").cast("int").alias("tile_row"), F.expr("col div 5").cast("int").alias("tile_col"), F.col("fused_class").cast("int").alias("fused_class"))
+    return sampling.class_shares(t, ["tile_row", "tile_col"], "fused_class").withColumn("share", F.round("share", 6))
+
+
+@query("val_03_surface_over_ground", f"WITH {SURFACE}, a AS (SELECT coalesce(avg((dsm - z - 3 < -0.5)::INT), 1.0) AS n, median(dsm - z - 3) AS m FROM surface WHERE dsm IS NOT NULL) SELECT round(n, 6) AS negative_fraction, round(m, 6) AS median_difference_m, CASE WHEN n < 0.02 THEN 'pass' WHEN n < 0.05 THEN 'warn' ELSE 'fail' END AS status FROM a")
+def val_03(spark: SparkSession, d: str) -> DataFrame:
+    t = checks.surface_over_ground(with_surface(spark, d), F.col("dsm") - F.col("z") - 3)
+    return t.select(r6(F.col("negative_fraction"), "negative_fraction"), r6(F.col("median_difference_m"), "median_difference_m"), "status")
+
+
+@query("val_04_buildings_are_tall", f"WITH {EVIDENCE}, a AS (SELECT median(h) FILTER (b) AS i, median(h) FILTER (NOT b) AS o, avg((h > 2.5)::INT) FILTER (b AND h IS NOT NULL) AS t FROM evidence) SELECT round(i, 6) AS median_inside_m, round(o, 6) AS median_outside_m, round(t, 6) AS tall_fraction, CASE WHEN i IS NULL OR o IS NULL THEN 'unavailable' WHEN i > o + 1 AND t > 0.5 THEN 'pass' ELSE 'fail' END AS status FROM a")
+def val_04(spark: SparkSession, d: str) -> DataFrame:
+    t = checks.buildings_are_tall(evidence(spark, d), F.col("object_height"), F.col("in_building"))
+    return t.select(*[r6(F.col(c), c) for c in t.columns[:3]], "status")
+
+
+@query("val_05_colours_agree", "WITH p AS (SELECT l_quantity AS a, l_quantity + l_linenumber % 3 AS b, round(l_discount * 100) AS c, round(l_tax * 100) AS e FROM lineitem), s AS (SELECT count(*) AS n, count_if(a + c + e = 0) AS u, corr(a, b) AS r, avg((abs(a - b) + abs(c - e) + abs(e - c)) / 3) AS m FROM p) SELECT n AS points, u AS unsampled_points, round(r, 6) AS red_correlation, round(m, 6) AS mean_abs_difference, CASE WHEN u = 0 AND r > 0.95 THEN 'pass' WHEN r > 0.8 THEN 'warn' ELSE 'fail' END AS status FROM s")
+def val_05(spark: SparkSession, d: str) -> DataFrame:
+    red, c, e = F.col("l_quantity"), F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100)
+    t = checks.colours_agree(read(spark, d, "lineitem"), [red, c, e], [red + F.col("l_linenumber") % 3, e, c])
+    return t.select("points", F.col("unsampled_points").cast("long").alias("unsampled_points"), r6(F.col("red_correlation"), "red_correlation"), r6(F.col("mean_abs_difference"), "mean_abs_difference"), "status")
+
+
+@query("viz_01_decimate", f"WITH {SURFACE} SELECT row // 4 AS row, col // 4 AS col, round(avg(dsm), 6) AS dsm FROM surface GROUP BY ALL")
+def viz_01(spark: SparkSession, d: str) -> DataFrame:
+    return display.decimate(with_surface(spark, d), "dsm", 4).withColumn("dsm", F.round("dsm", 6))
+
+
+@query("viz_02_stretch", f"WITH {SURFACE} SELECT round(quantile_cont(dsm, 0.02), 6) AS low, round(quantile_cont(dsm, 0.98), 6) AS high FROM surface")
+def viz_02(spark: SparkSession, d: str) -> DataFrame:
+    return display.stretch(with_surface(spark, d), "dsm").select(r6(F.col("low"), "low"), r6(F.col("high"), "high"))
+
+
+@query("viz_03_histogram", "WITH e AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem), k AS (SELECT least(floor((l_quantity - lo) * 60 / (hi - lo)), 59)::INT AS bin, count(*) AS n FROM lineitem, e GROUP BY 1) SELECT r::INT AS bin, coalesce(n, 0) AS n FROM range(60) a(r) LEFT JOIN k ON bin = r")
+def viz_03(spark: SparkSession, d: str) -> DataFrame:
+    return display.histogram(read(spark, d, "lineitem").select("l_quantity"), "l_quantity")
+
+
+@query("til_04_tile_range", "SELECT z::INT AS zoom, x::INT AS tile_x, y::INT AS tile_y, (y - 13005) * 256 AS row_offset, (x - 28690) * 256 AS col_offset FROM (SELECT 15 AS z), range(28690, 28697) a(x), range(13005, 13013) b(y)")
+def til_04(spark: SparkSession, d: str) -> DataFrame:
+    return geo.tile_range(spark, 15, 28690, 13005, 28696, 13012)
+
+
+@query("src_03_fill_missing", f"WITH {SURFACE}, s AS (SELECT row, col, CASE WHEN o_orderkey % 3 > 0 THEN dsm END AS a, CASE WHEN o_orderkey % 5 > 0 THEN z END AS b, CASE WHEN o_orderkey % 2 > 0 THEN z + 1 END AS c FROM surface) SELECT row, col, round(coalesce(a, b, c), 6) AS z, CASE WHEN a IS NOT NULL THEN 0 WHEN b IS NOT NULL THEN 1 WHEN c IS NOT NULL THEN 2 END AS source FROM s")
+def src_03(spark: SparkSession, d: str) -> DataFrame:
+    t, k = cells(spark, d, "o_orderkey"), F.col("o_orderkey")
+    first = with_surface(spark, d).select("row", "col", F.when((F.col("row") * W + F.col("col")) % 3 > 0, F.col("dsm")).alias("z"))
+    return readers.fill_missing(first, [t.filter(k % 5 > 0).select("row", "col", "z"), t.filter(k % 2 > 0).select("row", "col", (F.col("z") + 1).alias("z"))]).withColumn("z", F.round("z", 6))
+
+
+@query("prj_07_08_project_classes", "WITH s AS (SELECT l_orderkey, (l_partkey % 5)::INT AS source, l_quantity AS p FROM lineitem), g AS (SELECT l_orderkey, (CASE source WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 1 ELSE 0 END)::INT AS class_id, sum(p) AS confidence FROM s GROUP BY ALL) SELECT l_orderkey, class_id, round(confidence, 6) AS confidence FROM g QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY confidence DESC, class_id) = 1")
+def prj_07(spark: SparkSession, d: str) -> DataFrame:
+    t = read(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") % 5).cast("int").alias("source"), F.col("l_quantity").alias("p"))
+    return learning.project_classes(t, ["l_orderkey"], "source", "p", {1: 2, 2: 2, 3: 1}).withColumn("confidence", F.round("confidence", 6))
+
+
+@query("prj_16_subregion", f"WITH {HORN}, s AS (SELECT z, degrees(atan(sqrt(dx * dx + dy * dy))) AS slope FROM g WHERE row BETWEEN 5 AND 14 AND col BETWEEN 10 AND 29) SELECT count(*) AS cells, round(avg(z), 6) AS mean_z, round(min(z), 6) AS min_z, round(max(z), 6) AS max_z, round(avg(slope), 6) AS mean_slope, round(max(slope), 6) AS max_slope FROM s")
+def prj_16(spark: SparkSession, d: str) -> DataFrame:
+    # the stencil needs one more row and column on each side, nothing else of the grid
+    near = cells(spark, d).filter("row BETWEEN 4 AND 15 AND col BETWEEN 9 AND 30")
+    t = terrain.gradients(near, 5.0).filter("row BETWEEN 5 AND 14 AND col BETWEEN 10 AND 29").withColumn("slope", terrain.slope_deg(F.col("dz_dx"), F.col("dz_dy")))
+    return t.agg(F.count("*").alias("cells"), r6(F.avg("z"), "mean_z"), r6(F.min("z"), "min_z"), r6(F.max("z"), "max_z"), r6(F.avg("slope"), "mean_slope"), r6(F.max("slope"), "max_slope"))
+
+
+_draw = "l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice"
+
+
+@query("smp_03_fixed_sample", f"WITH p AS (SELECT l_orderkey, {_draw}, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_draw}) - 1 AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) SELECT l_orderkey, l_partkey, l_linenumber, draw::INT AS draw FROM p, range(4) r(draw) WHERE k = draw % n")
+def smp_03(spark: SparkSession, d: str) -> DataFrame:
+    t = learning.fixed_sample(read(spark, d, "lineitem"), ["l_orderkey"], 4, [F.col(c) for c in _draw.split(", ")])
+    return t.select("l_orderkey", "l_partkey", "l_linenumber", F.col("draw").cast("int").alias("draw"))
+
+
+@query("ml_11_json_reply", "WITH t AS (SELECT conv_id, turn, conv_id % 4 AS kind FROM conversations WHERE turn = 0) SELECT conv_id, CASE kind WHEN 0 THEN '{\"turn\": ' || turn || '}' WHEN 1 THEN '{\"a\": [1, 2]}' END AS reply FROM t")
+def ml_11(spark: SparkSession, d: str) -> DataFrame:
+    t, k = read(spark, d, "conversations").filter("turn = 0"), F.col("conv_id") % 4
+    said = F.when(k == 0, F.concat(F.lit('<think>{"no": 1}</think>Here: {"turn": '), F.col("turn").cast("string"), F.lit("} so")))
+    said = said.when(k == 1, F.lit('Text {x}\n```json\n{"a": [1, 2]}\n``` more')).when(k == 2, "no object").otherwise(F.lit('{"cut": '))
+    return t.select("conv_id", readers.json_reply(said).alias("reply"))

@@ -70,3 +70,17 @@ def json_reply(text: Column) -> Column:
     loose = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
     body = F.when(fenced != "", fenced).otherwise(loose)
     return F.when(F.try_parse_json(body).isNotNull(), body)
+
+
+def fill_missing(primary: DataFrame, fallbacks: list[DataFrame], value: str = "z") -> DataFrame:
+    """primary(row, col, value) with each fallback in turn filling the cells still missing; `source` is the number of the dataset, null where none has a value."""
+    t = primary.withColumn("source", F.when(F.col(value).isNotNull(), 0))
+    for n, more in enumerate(fallbacks, 1):
+        t = t.join(more.select("row", "col", F.col(value).alias("_v")), ["row", "col"], "left")
+        t = t.withColumn("source", F.coalesce("source", F.when(F.col("_v").isNotNull(), n))).withColumn(value, F.coalesce(value, "_v")).drop("_v")
+    return t
+
+
+def mosaic(tiles: DataFrame, x_min: int, y_min: int, size: int = 256) -> DataFrame:
+    """Pixels (tile_x, tile_y, row, col, z) placed on the mosaic's rows and columns; absent tiles have no rows."""
+    return tiles.select(((F.col("tile_y") - y_min) * size + F.col("row")).cast("int").alias("row"), ((F.col("tile_x") - x_min) * size + F.col("col")).cast("int").alias("col"), "z")

@@ -5,7 +5,7 @@ from conftest import DATA, by_sql, rows
 from pyspark.sql import functions as F
 
 from cellweave.functions import geo
-from cellweave.operators import rules, sampling, stats, terrain
+from cellweave.operators import learning, rules, sampling, stats, terrain
 from cellweave.plans.queries import ORACLE_SQL, QUERIES
 from cellweave.sources import readers
 
@@ -70,3 +70,24 @@ def test_ring_line_voxel_and_sample(spark):
     assert {r["idx"] for r in sampling.voxel_first(p, 1.0, ["idx"]).collect()} == {0, 2}
     assert sampling.exact_sample(p, 2, "idx", 1).count() == 2
     assert p.agg(*stats.describe(F.col("x"))).first()["count"] == 3
+
+
+def test_tile_origins_cover_and_end_at_the_edge():
+    assert learning.tile_origins(100, 40, 10) == [0, 30, 60] and learning.tile_origins(110, 40, 10) == [0, 30, 60, 70] and learning.tile_origins(20, 40, 10) == [0]
+
+
+def test_feature_widths_and_unknown_heights(spark):
+    t = spark.sql("SELECT 1 AS tile, 25D AS x, 75D AS y, 10D AS z, 255S AS red, 0S AS green, 51S AS blue, 45D AS slope, CAST(NULL AS DOUBLE) AS aspect, 10D AS relief, double('NaN') AS object_height, 2S AS image_class, 0.5F AS image_confidence, true AS in_building, false AS on_road")
+    for name in learning.FEATURE_SETS:
+        got = learning.features(t, name, ["tile"], F.lit(0.0), F.lit(50.0), 50.0, 6).first()["features"]
+        assert len(got) == learning.feature_dimension(name, 6)
+    assert [round(v, 4) for v in got] == [0, 0, 0, 1, 0, 0.2, 0.5, 0, 1, 0.5, 0, 0, 0, 0, 0.5, 0, 0, 0, 1, 0]
+
+
+def test_blend_weights_taper_to_a_floor_and_average_overlaps(spark):
+    at = lambda r, c: learning.blend_weight(F.lit(r), F.lit(c), 8, 3)
+    got = spark.range(1).select(at(3, 4), at(0, 3), at(7, 3), at(0, 0), at(2, 5)).first()
+    edge = (1 - math.cos(math.pi / 4)) / 2
+    assert [round(v, 9) for v in got] == [round(v, 9) for v in (1, edge, edge, 0.05, ((1 - math.cos(math.pi * 3 / 4)) / 2) ** 2)]
+    t = spark.createDataFrame([(1, 0, 0.2, 1.0), (1, 0, 0.8, 3.0), (2, 0, 0.5, 0.0)], "cell int, k int, p double, w double")
+    assert {r.cell: round(r.p, 9) for r in learning.blended(t, ["cell"], "k", "p", F.col("w")).collect()} == {1: 0.65, 2: 0.0}
