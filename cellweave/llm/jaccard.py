@@ -270,6 +270,8 @@ class Join:
         work, key, text, percent, width = self.work, self.key, self.text, self.percent, self.width
         one = nodes.select("sig", F.col("doc").alias("d"))
         pairs = work.keep(pairs.join(one.toDF("a", "da"), "a").join(one.toDF("b", "db"), "b"))
+        if pairs.isEmpty():
+            return pairs.select("a", "b")
         ids = pairs.select(F.col("da").alias("d")).union(pairs.select("db")).distinct()
         ids = work.keep(ids)
         # of the documents only those that the bitmap admits are moved; it has a fixed size
@@ -311,6 +313,14 @@ class Join:
         work.drop(pairs, ids, texts)
         return found
 
+    def merged(self, comp: DataFrame, links: DataFrame) -> DataFrame:
+        """comp after further links: only the components that these touch are contracted again."""
+        ends = links.join(comp.toDF("a", "ca"), "a", "left").join(comp.toDF("b", "cb"), "b", "left")
+        step = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), self.work)
+        moved = comp.join(step.toDF("component", "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        # a component bears the name of one of its nodes, so what comp lacks is a set that was alone so far
+        return self.work.keep(moved.union(step.join(comp, "node", "left_anti").select("node", "component")))
+
     def unjoined(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
         """list, sig, size, place and component c of the rows of lists whose sets aren't all in one component; others have nothing more to tell."""
         named = rows.select("list", "sig", "size", "place").join(comp.toDF("sig", "component"), "sig", "left").withColumn("c", F.coalesce("component", "sig")).drop("component")
@@ -356,8 +366,7 @@ class Join:
         span = [F.least("size", "size0").alias("low"), F.greatest("size", "size0").alias("high")]
         near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"), "place", *span)
         asked = work.keep(supported(near.select(*order, "place", "low", "high"), self.light, percent, 3))
-        links = self.check(asked, nodes)
-        comp = components(links, work)
+        comp = components(self.check(asked, nodes), work)
         rows = work.keep(lists.select("list", "sig", "size", "place"))
         work.drop(lists)
         for n in range(ROUNDS):
@@ -369,8 +378,7 @@ class Join:
             asked = asked.union(met)
             if more.isEmpty():
                 break
-            links = links.union(more)
-            comp = components(links, work)
+            comp = self.merged(comp, more)
         old, rows = rows, self.unjoined(rows, comp)
         work.drop(old)
         work.sweep()
@@ -379,7 +387,7 @@ class Join:
         far = work.keep(supported(far.select(*order, "place", "low", "high"), self.light, percent).join(asked, ["a", "b"], "left_anti"))
         more = self.check(far, nodes)
         if not more.isEmpty():
-            comp = components(links.union(more), work)
+            comp = self.merged(comp, more)
         return members, comp
 
 
