@@ -320,3 +320,22 @@ def ml_11(spark: SparkSession, d: str) -> DataFrame:
     said = F.when(k == 0, F.concat(F.lit('<think>{"no": 1}</think>Here: {"turn": '), F.col("turn").cast("string"), F.lit("} so")))
     said = said.when(k == 1, F.lit('Text {x}\n```json\n{"a": [1, 2]}\n``` more')).when(k == 2, "no object").otherwise(F.lit('{"cut": '))
     return t.select("conv_id", readers.json_reply(said).alias("reply"))
+
+
+# the parser over every row, each reply built around the row's whole text; DuckDB parses it again by its own regular expressions
+_said = {
+    0: """'<think>{"no": 1} ' || text || '</think>' || text || ' {"turn": ' || turn || ', "text": "' || esc || '"} so'""",
+    1: """text || chr(10) || '```json' || chr(10) || '{"a": {"b": [' || turn || ', {"t": "' || esc || '"}]}}' || chr(10) || '``` more'""",
+    2: "text",
+    3: """text || '{"cut": "' || esc""",
+    4: """'{"t": "' || text || '"}'""",
+}
+_SAID = "CASE (conv_id + turn) % 5 " + " ".join(f"WHEN {k} THEN {v}" for k, v in _said.items()) + " END"
+_ESC = "replace(replace(text, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
+_ESC = f"replace(replace(replace({_ESC}, chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
+
+
+@query("ml_11_json_reply_texts", f"WITH t AS (SELECT *, {_ESC} AS esc FROM conversations), b AS (SELECT conv_id, turn, regexp_replace({_SAID}, '(?s)<think>.*?</think>', '', 'g') AS bare FROM t), p AS (SELECT conv_id, turn, coalesce(nullif(regexp_extract(bare, '(?s)```(?:json)?\\s*(\\{{.*?\\}})\\s*```', 1), ''), regexp_extract(bare, '(?s)\\{{.*\\}}', 0)) AS body FROM b) SELECT conv_id, turn, CASE WHEN json_valid(body) THEN body END AS reply FROM p")
+def ml_11_texts(spark: SparkSession, d: str) -> DataFrame:
+    t = read(spark, d, "conversations").withColumn("esc", F.expr(_ESC))
+    return t.select("conv_id", "turn", readers.json_reply(F.expr(_SAID)).alias("reply"))

@@ -1,5 +1,7 @@
+import json
 import math
 
+import duckdb
 import pytest
 from conftest import DATA, by_sql, rows
 from pyspark.sql import functions as F
@@ -62,6 +64,23 @@ def test_replies(spark):
     assert [r[0] for r in t.select(readers.json_reply(F.col("t"))).collect()] == ['{"a": 1}', '{"b": 2}', None, None]
 
 
+def test_replies_around_every_whole_text(spark):
+    said = {(r.conv_id, r.turn): r.text for r in spark.read.parquet(f"{DATA}/conversations.parquet").collect()}
+    got = {(r.conv_id, r.turn): r.reply for r in QUERIES["ml_11_json_reply_texts"](spark, DATA).collect()}
+    assert got.keys() == said.keys() and {t for _, t in got} != {0}
+    for (c, t), text in said.items():
+        want = [{"turn": t, "text": text}, {"a": {"b": [t, {"t": text}]}}, None, None, None if "\n" in text else {"t": text}][(c + t) % 5]
+        assert (got[c, t] and json.loads(got[c, t])) == want
+
+
+def test_replies_around_odd_texts(spark, tmp_path):
+    odd = [None, "", "{", "a } b", '"q" \\ {x}', "<think>", "tab\t\r\n", "x" * 200_000, "{" * 500 + "}" * 500, "```json\n{}\n```", "é\U0001f600 {"]
+    spark.createDataFrame([(i, k, "user", t) for i, t in enumerate(odd) for k in range(5)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert rows(QUERIES["ml_11_json_reply_texts"](spark, str(tmp_path)).toPandas()) == rows(c.sql(ORACLE_SQL["ml_11_json_reply_texts"]).df())
+
+
 def test_ring_line_voxel_and_sample(spark):
     p = spark.createDataFrame([(0, 0.5, 0.5, 0.0), (1, 0.6, 0.6, 0.0), (2, 5.0, 5.0, 0.0)], "idx int, x double, y double, z double")
     ring = F.array(*[F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in ((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))])
