@@ -7,6 +7,10 @@ segments from their n-gram likelihoods. The language set starts from the best si
 further ones, in the order of the shares under all languages, as long as the likelihood, less a penalty
 for each language, grows. The prediction is the language with the largest share in the chosen set.
 
+Shares are relative, so they can't tell that a text is in none of the languages. For that a text's likelihood
+is held against what a language's own trigrams have, each left out of its count: a text fits unless it falls
+short by more than SLACK for each trigram and DEVIATIONS standard deviations. keep_identified asks for it.
+
 All texts of a block are worked on side by side. Whole texts are read; the model (languages times
 buckets) is all that reaches the driver.
 
@@ -35,6 +39,9 @@ ROUNDS = 12
 #: Log-likelihood that a further language must gain, per natural logarithm of the segments.
 PENALTY = 3.0
 SMOOTHING = 0.5
+#: Log-likelihood a trigram that a text may lack against its languages' own, and the spread allowed on top: wide, since
+#: neighbouring trigrams share letters and short clean texts may be half tokens and numbers.
+SLACK, DEVIATIONS = 2.0, 8.0
 BLOCK = 1 << 20
 
 _letters: np.ndarray | None = None
@@ -77,14 +84,20 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     languages: list[str]
     log_p: np.ndarray  # buckets x languages
+    own: np.ndarray  # mean and variance of log_p over each language's trigrams (2 x languages)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], np.ndarray]:
         """Language, its share and all shares (texts x languages)."""
+        return self.judge(texts)[:3]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], np.ndarray, np.ndarray]:
+        """What predict() tells, and whether each text is as likely as texts of its segments' languages are."""
         n, k = len(texts), len(self.languages)
+        fits = np.zeros(n, bool)
         bucket, of, n_letters = grams(texts)
         shares = np.zeros((n, k))
         if not k or not len(bucket):
-            return ["und"] * n, [0.0] * n, shares
+            return ["und"] * n, [0.0] * n, shares, fits
         starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         inside = np.arange(len(of)) - np.repeat(starts, np.diff(np.r_[starts, len(of)]))
         cuts = np.flatnonzero(inside % GRAMS == 0)
@@ -97,6 +110,9 @@ class Model:
         peak = ll.max(1, keepdims=True)
         like = np.exp(ll - peak)
         base = np.add.reduceat(peak[:, 0], first)
+        n_grams = np.diff(np.r_[cuts, len(of)])
+        mean, variance = (np.add.reduceat(n_grams * x[ll.argmax(1)], first) for x in self.own)
+        fits[docs] = base - mean >= -SLACK * np.add.reduceat(n_grams, first) - DEVIATIONS * np.sqrt(variance)
 
         def fit(rows: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Shares and log-likelihood of the documents numbered `rows`, with the languages allowed to each."""
@@ -134,7 +150,7 @@ class Model:
         shares[n_letters == 0] = 0
         top = shares.argmax(1)
         value = np.clip(shares[np.arange(n), top], 0, 1)
-        return [self.languages[i] if v > 0 else "und" for i, v in zip(top.tolist(), value.tolist(), strict=True)], value.tolist(), shares
+        return [self.languages[i] if v > 0 else "und" for i, v in zip(top.tolist(), value.tolist(), strict=True)], value.tolist(), shares, fits
 
 
 def train(labelled: DataFrame, per_language: int = TRAIN_DOCUMENTS, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
@@ -143,7 +159,7 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCUMENTS, text: str =
     counts = {r[lang]: r["count"] for r in labelled.groupBy(lang).count().collect()}
     languages = sorted(counts)
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32))
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((2, 0)))
     keep = F.lit(False)
     draw = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1_000_000))
     for name in languages:
@@ -165,7 +181,11 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCUMENTS, text: str =
     got = seen.toPandas()
     n[got["bucket"].to_numpy(), [languages.index(x) for x in got["lang"]]] = got["n"]
     p = (n + SMOOTHING) / (n.sum(0, keepdims=True) + SMOOTHING * BUCKETS)
-    return Model(languages, np.log(p).astype(np.float32))
+    # each trigram is told without itself, else a few documents would seem likelier than any other can be
+    total = np.maximum(n.sum(0), 1)
+    others = np.log((np.maximum(n - 1, 0) + SMOOTHING) / (total - 1 + SMOOTHING * BUCKETS))
+    mean = (n * others).sum(0) / total
+    return Model(languages, np.log(p).astype(np.float32), np.stack([mean, (n * (others - mean) ** 2).sum(0) / total]))
 
 
 def held_out(key: Column) -> Column:
@@ -191,14 +211,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
 
 def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of docs, columns as they are, whose text has letters and one language with at least that share."""
+    """The rows of docs, columns as they are, whose text has letters, one language with at least that share, and the likelihood of learned languages."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, lang=lang, text=text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for t in chunks(batches, text, BLOCK):
-            pred, score, _ = m.predict(t.column(text).to_pylist())
-            yield from t.filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score, strict=True)], pa.bool_())).to_batches()
+            pred, score, _, fits = m.judge(t.column(text).to_pylist())
+            yield from t.filter(pa.array([p != "und" and s >= least and f for p, s, f in zip(pred, score, fits.tolist(), strict=True)], pa.bool_())).to_batches()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -13,7 +13,7 @@ from cellweave.llm import bpe, jaccard, langid, mixing
 from cellweave.llm.common import Workspace, table
 from cellweave.llm.queries import BYTE_BPE
 
-#: A text of which no language has this share is rejected, as is one without letters.
+#: A text of which no language has this share is rejected, as is one without letters or in none of the learned languages.
 LEAST_SHARE = 0.3
 MIXTURE = mixing.Mixture(percent=90, epochs=1)
 

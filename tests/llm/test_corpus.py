@@ -143,6 +143,28 @@ def test_language_of_held_out_documents(spark, odd):
     assert langid.predict_all(odd).count() == len(ODD) and langid.keep_identified(odd, 0.3).columns == odd.columns
 
 
+FOREIGN = {
+    "ru": "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 4,
+    "el": "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία του κόσμου αυτού. " * 4,
+    "ja": "いろはにほへと ちりぬるを わかよたれそ つねならむ うゐのおくやま。" * 4,
+    "pl": "Zażółć gęślą jaźń, wszystko dobrze się kończy w tym pięknym świecie. " * 4,
+    "hex": " ".join(f"{x * 2654435761 % 2**32:08x}" for x in range(1, 40)),
+    "consonants": " ".join("".join("bcdfghjklmnpqrstvwxz"[(7 * i + i * j * j + 3 * j) % 20] for j in range(8)) for i in range(1, 40)),
+}
+
+
+def test_other_languages_and_gibberish_are_rejected_and_clean_documents_kept(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    clean = docs.count()
+    odd = spark.createDataFrame([(-i - 1, t, None) for i, t in enumerate(FOREIGN.values())], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.keep_identified(docs.union(odd), 0.3).collect()} == {r.doc_id for r in docs.collect()} and clean > 100
+    # a language without labels is not learned, so its documents go
+    for lang in ("fr", "de"):
+        hidden = docs.withColumn("lang", F.when(F.col("lang") != lang, F.col("lang")))
+        kept = Counter(r.lang for r in langid.keep_identified(hidden, 0.3).collect())
+        assert kept[None] <= 0.03 * docs.filter(F.col("lang") == lang).count() and clean - docs.filter(F.col("lang") == lang).count() == sum(n for x, n in kept.items() if x)
+
+
 # mixing
 
 
