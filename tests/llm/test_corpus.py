@@ -203,6 +203,17 @@ def test_near_duplicates_match_brute_force(spark):
     assert [got[i].component_id for i in range(len(u))] == roots(len(u), *np.nonzero(link)).tolist()
 
 
+@pytest.mark.parametrize("cosine, least", [(0.93, 0.997), (0.935, 0.998), (0.94, 0.999), (0.95, 0.9995)])
+def test_pairs_near_the_threshold_share_a_table(cosine, least):
+    rng = np.random.default_rng(5)
+    x, y = rng.standard_normal((2, 20000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y = cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    hit = [(vectors.codes(x[i : i + 4000]) == vectors.codes(y[i : i + 4000])).any(1) for i in range(0, len(x), 4000)]
+    assert np.mean(hit) >= least
+
+
 def test_vectors_that_link_with_nothing(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0], 1), (6, [float("nan"), 1.0], 1), (7, [1.0, None], 1), (9, [1.0, 0.0, 0.0], 1), (10, [1.0, 0.0], None)], "vec_id long, embedding array<float>, label int")
     got = {r.vec_id: tuple(r)[1:] for r in vectors.near_duplicates(q).collect()}
