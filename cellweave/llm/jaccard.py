@@ -290,7 +290,7 @@ class Join:
             for t in chunks(batches, "text_b", BLOCK):
                 left, back = {}, []
                 for s, x in zip(t.column("a").to_pylist(), as_bytes(t.column("text_a")), strict=True):
-                    back.append(left.setdefault(s, (len(left), x))[0])
+                    back.append(left.setdefault((s, x), (len(left), x))[0])
                 ofa, ha = shingles([x for _, x in left.values()], width)
                 ofb, hb = shingles(as_bytes(t.column("text_b")), width)
                 na, nb = len(left), t.num_rows

@@ -288,6 +288,17 @@ def test_jaccard_on_odd_rows(spark, odd):
     assert jaccard.join(odd.limit(0)).count() == 0
 
 
+def test_jaccard_with_two_texts_under_one_id(spark):
+    text = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    data = []
+    for k in range(20):
+        # the id stands on two dissimilar texts, in either order, each near to one other document
+        one, two = text(f"p{k}x", 60), text(f"q{k}x", 60)
+        data += [(4 * k, t) for t in ((one, two) if k % 2 else (two, one))] + [(4 * k + 1, one + " end"), (4 * k + 2, two + " end")]
+    got = Counter(tuple(r) for r in jaccard.join(spark.createDataFrame(data, "doc_id long, text string").coalesce(1)).collect())
+    assert got == Counter(x for k in range(20) for x in ((4 * k, 56, 4 * k), (4 * k, 56, 4 * k), (4 * k + 1, 57, 4 * k), (4 * k + 2, 57, 4 * k)))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 300)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), Workspace(spark)).collect()}
