@@ -15,6 +15,8 @@ from ..operators import checks, display, learning, rules, sampling, stats, terra
 from ..sources import readers
 
 W = 50
+#: Cells each way in which agg_09 looks for a shift, as the reference does.
+MOST_SHIFT = 5
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -148,7 +150,7 @@ def agg_09(spark: SparkSession, d: str) -> DataFrame:
     t = cells(spark, d, "o_orderkey").select("row", "col", (F.col("o_orderkey") % 7 == 0).alias("p"))
     height = t.agg((F.max("row") + 1).alias("h")).first()["h"]
     back = F.pmod(F.col("row") - 2, F.lit(height)) * W + F.pmod(F.col("col") + 1, F.lit(W))
-    return stats.best_shift(t.withColumn("r", back % 7 == 0), "p", "r", height, W, 3)
+    return stats.best_shift(t.withColumn("r", back % 7 == 0), "p", "r", height, W, MOST_SHIFT)
 
 
 @query("agg_10_block_majority", f"WITH {CELLS}, m AS (SELECT max(row) + 1 AS h FROM cells) SELECT row // 4 AS row, col // 4 AS col, avg((z > 150)::INT) > 0.5 AS mask FROM cells, m WHERE row < h // 4 * 4 AND col < {W // 4 * 4} GROUP BY ALL")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import geo
 from cellweave.operators import learning, rules, sampling, stats, terrain
+from cellweave.plans import queries
 from cellweave.plans.queries import ORACLE_SQL, QUERIES
 from cellweave.sources import readers
 
@@ -41,6 +42,15 @@ def test_transverse_mercator_of_a_known_place(spark):
     assert abs(e - 82557.182) < 0.01 and abs(n + 140696.440) < 0.01
 
 
+@pytest.mark.parametrize("shift", [(4, -5), (-5, 4), (5, 5)])
+def test_best_shift_finds_far_shifts(spark, shift):
+    h, w = 20, 30
+    p = {(r, c) for r in range(h) for c in range(w) if (r * r * 7 + c * c * c * 3 + r * c) % 11 == 0}
+    data = [(r, c, (r, c) in p, ((r - shift[0]) % h, (c - shift[1]) % w) in p) for r in range(h) for c in range(w)]
+    t = spark.createDataFrame(data, "row int, col int, p boolean, r boolean")
+    assert tuple(stats.best_shift(t, "p", "r", h, w, queries.MOST_SHIFT).first()) == (*shift, len(p))
+
+
 def test_grid_snaps_and_bins():
     assert geo.snap_bounds((0.4, 0.4, 9.2, 9.2), 2.0, 5.0) == (0, 0, 10, 10)
     g = geo.Grid(0, 0, 10, 20, 0.5)
