@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from conftest import DATA, by_sql, rows
@@ -240,6 +241,20 @@ def test_nearest_neighbours(spark):
     assert [tuple(r)[:3] for r in permutation.nearest(few, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()] == [(0, 1, 1), (0, 2, 100), (100, 1, 0), (100, 2, 1)]
 
 
+def test_recall_where_the_share_decides():
+    x, ids = np.random.default_rng(2).standard_normal((8000, 64)), np.arange(8000)
+    assert permutation.SHARE * len(x) > permutation.LEAST_RERANKED
+    asked = ids[::200]
+    table_of = lambda at, **more: pd.DataFrame({"vec_id": at, "embedding": list(x[at]), **more})
+    got = permutation.search_block(table_of(ids), table_of(asked, uid=asked), x[np.random.default_rng(3).permutation(8000)[: permutation.PIVOTS]], permutation.SHARE, 10)
+    hit = 0
+    for i in asked:
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        hit += len(set(got.vec_id[got.query_id == i]) & set(np.argsort(d)[:10].tolist()))
+    assert hit >= 0.9 * 10 * len(asked)
+
+
 # URLs
 
 
