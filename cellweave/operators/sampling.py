@@ -56,6 +56,21 @@ def line_within(x: Column, y: Column, line: Column, radius: float) -> Column:
     return F.exists(edges, near)
 
 
+def rasterize_shapes(cells: DataFrame, shapes: DataFrame, block: int, x: Column, y: Column, radius: float | None = None) -> DataFrame:
+    """For each cell whose centre (x, y) lies in a shape(points, height, seq): row, col and the height of the last.
+
+    points are a closed ring of struct<x, y>, or with a radius a line that reaches that far. Cells meet the shapes'
+    bounding boxes on blocks as in rasterize_boxes; then the shape itself decides."""
+    key = lambda c: F.floor(c / block)
+    reach = radius or 0.0
+    span = lambda c: F.explode(F.sequence(key(F.array_min(F.col(f"points.{c}")) - reach), key(F.array_max(F.col(f"points.{c}")) + reach)))
+    s = shapes.withColumn("_bx", span("x")).withColumn("_by", span("y"))
+    c = cells.select("row", "col", x.alias("_x"), y.alias("_y")).withColumns({"_bx": key(F.col("_x")), "_by": key(F.col("_y"))})
+    at = (F.col("_x"), F.col("_y"), F.col("points"))
+    inside = c.join(s, ["_bx", "_by"]).filter(ring_contains(*at) if radius is None else line_within(*at, radius))
+    return inside.groupBy("row", "col").agg(F.max_by("height", "seq").alias("height"))
+
+
 def voxel_first(points: DataFrame, size: float, order: list[str], xyz: tuple[str, str, str] = ("x", "y", "z")) -> DataFrame:
     """The first point of each voxel in the given order, found by a partial aggregate rather than a sort."""
     if size <= 0:

@@ -101,6 +101,21 @@ def test_ring_line_voxel_and_sample(spark):
     assert p.agg(*stats.describe(F.col("x"))).first()["count"] == 3
 
 
+def test_shapes_burn_by_their_own_outline(spark):
+    cells = spark.range(900).select(F.expr("cast(id div 30 as int)").alias("row"), (F.col("id") % 30).cast("int").alias("col"))
+    shape = lambda *p: [{"x": float(a), "y": float(b)} for a, b in p]
+    kind = "points array<struct<x: double, y: double>>, height double, seq int"
+    at = (F.col("col") + 0.5, F.col("row") + 0.5)
+    burn = lambda shapes, **more: {(r.row, r.col): r.height for r in sampling.rasterize_shapes(cells, spark.createDataFrame(shapes, kind), 7, *at, **more).collect()}
+    # two triangles, the second over the first
+    got = burn([(shape((0, 0), (20.5, 0), (0, 20.5), (0, 0)), 3.0, 1), (shape((10.25, 0), (29, 0), (29, 18.75), (10.25, 0)), 4.0, 2)])
+    want = {(r, c): 4.0 if c + 0.5 < 29 and r < c - 10.25 else 3.0 for r in range(30) for c in range(30) if r + c + 1 < 20.5 or (c + 0.5 < 29 and r < c - 10.25)}
+    assert got.keys() == want.keys() and got == want
+    got = burn([(shape((5, 5), (25, 5), (25, 25)), 1.0, 1)], radius=1.6)
+    far = lambda a, b: min(math.hypot(a - min(max(a, 5), 25), b - 5), math.hypot(a - 25, b - min(max(b, 5), 25)))
+    assert got.keys() == {(r, c) for r in range(30) for c in range(30) if far(c + 0.5, r + 0.5) <= 1.6}
+
+
 def test_tile_origins_cover_and_end_at_the_edge():
     assert learning.tile_origins(100, 40, 10) == [0, 30, 60] and learning.tile_origins(110, 40, 10) == [0, 30, 60, 70] and learning.tile_origins(20, 40, 10) == [0]
 
