@@ -18,9 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; only where that is unset (tests), under the warehouse."""
+    """A new folder under spark.checkpoint.dir, gone when the application ends. Where that is unset, as in tests, a
+    local session uses the warehouse; on a cluster it has to be set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{base or spark.conf.get('spark.sql.warehouse.dir')}/cellweave-{uuid.uuid4().hex}"
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/cellweave-{uuid.uuid4().hex}")
+    store = path.getFileSystem(conf)
+    store.deleteOnExit(path)
+    # qualified, so that executors resolve it as the driver does, whatever their default store is
+    return store.makeQualified(path).toString()
 
 
 class Workspace:

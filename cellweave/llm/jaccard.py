@@ -11,11 +11,14 @@ Jaccard similarity reaches the threshold share at least k n-grams of their (size
 
 The boundary is the size at which subsets listed plus lists scanned cost least, by the corpus's sizes and
 the sketch's mean list length. In each list, sets sorted by size first meet their leader only (the
-smallest set of near enough size), then for some rounds a few delegates of other components; what these
-exact checks join is one component. Then every pair of a list whose sets are still in different
-components, and that passes the length and positional filters, is checked exactly. So each link is either
-found or lies within a component that is already joined: no pair is capped, and the pairs inside a group
-of thousands of near copies are not listed.
+smallest set of near enough size); what these exact checks join is one component. Of the lists whose sets
+are still in different components, those of at most SHORT sets (of near sizes) are listed in pairs that pass the length
+and positional filters and meet often enough. The sets of longer lists are posted anew, with the n-grams of
+long lists last in the order, which parts those that share a passage only. Where lists are still long (near
+copies of one text), sets are described by what they have apart from a leader they share, and those differences
+are joined by prefixes of their own, in order of their exact frequency: see around_leaders(). All pairs left are checked
+exactly, so each link is either found or lies within a component that is already joined: no pair is
+capped, and the pairs inside a group of thousands of near copies are not listed.
 
 Hashes of different n-grams or sets are taken to differ (64 bits). Defined cases: without words or text,
 and without a doc_id, a document's set links with nothing; a text of fewer than n words is one n-gram;
@@ -24,6 +27,7 @@ very long texts are taken whole; rows of equal doc_id each give a row; an empty
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from math import comb
 
@@ -38,14 +42,24 @@ from .components import components
 
 WORDS_PER_GRAM = 5
 PERCENT = 75
-SKETCH = 1 << 16
+SKETCH = 1 << 20
+#: Buckets that a row of the sketch holds.
+SLICE = 1 << 14
 #: No set above this size is light: its subsets would always cost more.
 LARGEST_LIGHT = 64
 BITMAP = 1 << 20
-#: Rounds in which components meet by delegates before all that is left meets, and delegates of a component that a set is checked against.
-ROUNDS = 2
-DELEGATES = 8
-BLOCK = 2 << 20
+#: Lists, or bands of size of a list, of up to so many sets are listed in pairs.
+SHORT = 16
+#: N-grams of the longest lists that are put last when sets of longer lists are posted anew (8 bytes each, sent to
+#: all tasks); which ones they are decides nothing but the work.
+MOST_LAST = 1 << 18
+LAST = 1 << 20
+#: Partners of a set that are compared with it in one go; further ones get its text again.
+STAR = 256
+#: Signatures that a task remembers so as not to post a set twice; repeated postings are dropped later anyway.
+REMEMBERED = 1 << 17
+BLOCK = 1 << 19
+COMPARED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("both", pa.int64()), ("size_a", pa.int64()), ("size_b", pa.int64()), ("apart", pa.list_(pa.int64()))])
 
 _odd = np.uint64(0x9E3779B97F4A7C15)
 _back = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -117,27 +131,43 @@ def as_bytes(column: pa.ChunkedArray) -> list[bytes | None]:
 
 
 def profile(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Rows (key, size, sig, null, null) of documents, and rows (null, null, null, bucket, count) of the sketch of each task's distinct sets."""
+    """Rows (key, size, sig, null, null) of documents, and rows (null, null, null, slice, counts) of the sketch of
+    each task's sets; counts are packed."""
+    schema = pa.schema([(key, pa.int64()), ("size", pa.int64()), ("sig", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        sketch = np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(SKETCH, np.int32)
         for t in chunks(batches, text, BLOCK):
             of, h = shingles(as_bytes(t.column(text)), width)
             size, sig = signatures(of, h, t.num_rows)
-            fresh = np.zeros(t.num_rows, bool)
-            for i, s in enumerate(sig.tolist()):
-                if s not in seen:
-                    seen.add(s)
-                    fresh[i] = True
-            sketch += np.bincount((h[fresh[of]] % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-            none = pa.nulls(t.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([t.column(key).combine_chunks(), pa.array(size, pa.int64()), pa.array(sig.view(np.int64)), none, none], names=[key, "size", "sig", "bucket", "count"])
-        at = np.flatnonzero(sketch)
-        none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(at, pa.int64()), pa.array(sketch[at], pa.int64())], names=[key, "size", "sig", "bucket", "count"])
+            once = np.zeros(t.num_rows, bool)
+            once[np.unique(sig, return_index=True)[1]] = True
+            sketch += np.bincount((h[once[of]] % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+            columns = [t.column(key).combine_chunks(), pa.array(size, pa.int64()), pa.array(sig.view(np.int64)), pa.nulls(t.num_rows, pa.int32()), pa.nulls(t.num_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        for n, part in enumerate(sketch.reshape(-1, SLICE)):
+            if part.any():
+                packed = zlib.compress(part.tobytes(), 1)
+                yield pa.RecordBatch.from_pydict({key: [None], "size": [None], "sig": [None], "slice": [n], "counts": [packed]}, schema=schema)
 
-    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, f"{key} long, size long, sig long, bucket long, count long")
+    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, f"{key} long, size long, sig long, slice int, counts binary")
+
+
+def total_sketch(parts: DataFrame) -> np.ndarray:
+    """The sum of sketches from rows (slice, counts), each slice summed in its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for n, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[n] = sums.get(n, 0) + np.frombuffer(zlib.decompress(packed), np.int32).astype(np.int64)
+        for n, x in sums.items():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([n], pa.int32()), "counts": pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())})
+
+    out = np.zeros((SKETCH // SLICE, SLICE))
+    for r in parts.select("slice", "counts").repartition("slice").mapInArrow(run, "slice int, counts binary").toLocalIterator():
+        out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
+    return out.ravel()
 
 
 def prefix(size: int, k: int, percent: int) -> int:
@@ -152,24 +182,31 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
     return min(range(LARGEST_LIGHT + 1), key=cost)
 
 
-def postings(docs: DataFrame, level: np.ndarray, light: int, percent: int, text: str, width: int) -> DataFrame:
-    """list, sig, size and place (of an n-gram in its set's order; -1 for subsets) of each task's distinct sets."""
-    sent = docs.sparkSession.sparkContext.broadcast(level)
+def postings(docs: DataFrame, level: np.ndarray, light: int, percent: int, text: str, width: int, last: np.ndarray | None = None) -> DataFrame:
+    """list, sig, size and place (of an n-gram in its set's order; -1 for subsets) of each task's sets.
+
+    The n-grams in `last` (sorted hashes) come after all others in the order."""
+    late = np.zeros(0, np.uint64) if last is None else last
+    sent = docs.sparkSession.sparkContext.broadcast((level, late))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        level, late = sent.value
         for t in chunks(batches, text, BLOCK):
             of, h = shingles(as_bytes(t.column(text)), width)
             size, sig = signatures(of, h, t.num_rows)
-            by = np.lexsort((h, sent.value[(h % np.uint64(SKETCH)).astype(np.int64)], of))
-            h = h[by]
+            order = level[(h % np.uint64(SKETCH)).astype(np.int64)]
+            if len(late):
+                order = order + LAST * (late[np.minimum(np.searchsorted(late, h), len(late) - 1)] == h)
+            h = h[np.lexsort((h, order, of))]
             at = np.cumsum(size) - size
             place = np.arange(len(h)) - np.repeat(at, size)
             fresh = size > 0
             for i, s in enumerate(sig.tolist()):
                 if s in seen:
                     fresh[i] = False
-                seen.add(s)
+                elif len(seen) < REMEMBERED:
+                    seen.add(s)
             need = -(-size * percent // 100)
             scan = fresh & (100 * size > percent * light)
             take = scan[of] & (place < (size - need + 1)[of])
@@ -181,7 +218,8 @@ def postings(docs: DataFrame, level: np.ndarray, light: int, percent: int, text:
                 sets.append(np.full(len(a), i))
                 places.append(np.full(len(a), -1))
             of_set = np.concatenate(sets)
-            yield pa.RecordBatch.from_pydict({"list": pa.array(np.concatenate(lists).view(np.int64)), "sig": pa.array(sig[of_set].view(np.int64)), "size": pa.array(size[of_set], pa.int32()), "place": pa.array(np.concatenate(places), pa.int32())})
+            columns = {"list": np.concatenate(lists).view(np.int64), "sig": sig[of_set].view(np.int64), "size": size[of_set].astype(np.int32), "place": np.concatenate(places).astype(np.int32)}
+            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
     return docs.select(text).mapInArrow(run, "list long, sig long, size int, place int")
 
@@ -262,19 +300,14 @@ def supported(met: DataFrame, light: int, percent: int, part: int = 1) -> DataFr
 
 class Join:
     def __init__(self, docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", width: int = WORDS_PER_GRAM):
-        self.docs, self.percent, self.key, self.text, self.width = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()), percent, key, text, width
+        self.docs = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull())
+        self.percent, self.key, self.text, self.width, self.short = percent, key, text, width, SHORT
         self.work = Workspace(docs.sparkSession)
 
-    def check(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs (a, b) of signatures whose sets reach the threshold, by their texts."""
-        work, key, text, percent, width = self.work, self.key, self.text, self.percent, self.width
-        one = nodes.select("sig", F.col("doc").alias("d"))
-        pairs = work.keep(pairs.join(one.toDF("a", "da"), "a").join(one.toDF("b", "db"), "b"))
-        if pairs.isEmpty():
-            return pairs.select("a", "b")
-        ids = pairs.select(F.col("da").alias("d")).union(pairs.select("db")).distinct()
-        ids = work.keep(ids)
-        # of the documents only those that the bitmap admits are moved; it has a fixed size
+    def texts(self, ids: DataFrame) -> DataFrame:
+        """d and text of the documents with these ids (d).
+
+        Of the documents only those that a bitmap of fixed size admits are moved."""
         spot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP))
         bits = np.zeros(BITMAP, np.uint8)
         bits[ids.select(spot(F.col("d")).alias("s")).distinct().toPandas()["s"].to_numpy(dtype=np.int64)] = 1
@@ -282,37 +315,62 @@ class Join:
         s = spot(F.col("d"))
         byte = F.conv(F.hex(F.substr(packed, (s / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         admitted = F.expr("1") == F.try_mod(F.floor(byte / F.pow(F.lit(2), s % 8)), F.lit(2)).cast("int")
-        some = self.docs.select(F.col(key).alias("d"), F.col(text).alias("text")).filter(admitted)
-        texts = work.keep(some.join(ids, "d", "left_semi"))
+        some = self.docs.select(F.col(self.key).alias("d"), F.col(self.text).alias("text")).filter(admitted)
+        met = some.join(ids, "d", "left_semi").withColumn("h", F.xxhash64("text"))
+        return self.work.keep(met.dropDuplicates(["d", "h"]).select("d", "text"))
+
+    def compare(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """For pairs (a, b, tell) of signatures: a, b, both (size of the intersection), size_a, size_b and, where
+        `tell`, apart: the n-grams that only one of the two sets has.
+
+        The text of a travels once for each STAR of its partners, that of b once for each pair."""
+        work, width = self.work, self.width
+        one = nodes.select("sig", F.col("doc").alias("d"))
+        pairs = pairs.join(one.toDF("a", "da"), "a").join(one.toDF("b", "db"), "b")
+        pairs = work.keep(pairs.withColumn("part", F.lit(0)))
+        if pairs.isEmpty():
+            return pairs.selectExpr("a", "b", "0L AS both", "0L AS size_a", "0L AS size_b", "array(0L) AS apart")
+        hot = pairs.groupBy("a").count().filter(F.col("count") > STAR).select("a", F.ceil(F.col("count") / STAR).alias("parts"))
+        ids = work.keep(pairs.select(F.col("da").alias("d")).union(pairs.select("db")).distinct())
+        texts = self.texts(ids)
         work.sweep()
+        dealt = pairs.join(work.keep(hot), "a", "left")
+        dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0)).cast("int"))
+        heads = dealt.select("a", "part", "da").distinct().join(texts.toDF("da", "text"), "da")
+        heads = heads.selectExpr("a", "part", "CAST(NULL AS LONG) AS b", "false AS tell", "text")
+        others = dealt.join(texts.toDF("db", "text"), "db").select("a", "part", "b", "tell", "text")
+        rows = heads.union(others).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for t in chunks(batches, "text_b", BLOCK):
-                left, back = {}, []
-                for s, x in zip(t.column("a").to_pylist(), as_bytes(t.column("text_a")), strict=True):
-                    back.append(left.setdefault((s, x), (len(left), x))[0])
-                ofa, ha = shingles([x for _, x in left.values()], width)
-                ofb, hb = shingles(as_bytes(t.column("text_b")), width)
-                na, nb = len(left), t.num_rows
-                size_a, sig_a = signatures(ofa, ha, na)
-                size_b, sig_b = signatures(ofb, hb, nb)
-                end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
-                both = np.zeros(nb, np.int64)
-                for i, k in enumerate(back):
-                    x, y = ha[end_a[k] - size_a[k] : end_a[k]], hb[end_b[i] - size_b[i] : end_b[i]]
-                    at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
-                    both[i] = int((x[at] == y).sum()) if len(x) else 0
-                back = np.array(back)
-                a, b = t.column("a").to_numpy(), t.column("b").to_numpy()
-                # a document whose id stands twice may have come with another text
-                ok = (100 * both >= percent * (size_a[back] + size_b - both)) & (sig_a[back].view(np.int64) == a) & (sig_b.view(np.int64) == b)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a[ok]), "b": pa.array(b[ok])})
-
-        right = pairs.join(texts.toDF("db", "text_b"), "db")
-        found = work.keep(right.join(texts.toDF("da", "text_a"), "da").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+            name, head = None, None
+            for t in chunks(batches, "text", BLOCK):
+                of, h = shingles(as_bytes(t.column("text")), width)
+                size, sig = signatures(of, h, t.num_rows)
+                end = np.cumsum(size).tolist()
+                out: dict[str, list] = {k: [] for k in COMPARED.names}
+                named = zip(t.column("a").to_pylist(), t.column("b").to_pylist(), t.column("tell").to_pylist(), sig.view(np.int64).tolist(), strict=True)
+                for i, (a, b, tell, own) in enumerate(named):
+                    mine = h[end[i] - int(size[i]) : end[i]]
+                    # a document whose id stands twice may have come with another text
+                    if b is None and own == a:
+                        name, head = a, mine.copy()
+                    if b is None or own != b or name != a:
+                        continue
+                    at = np.minimum(np.searchsorted(head, mine), len(head) - 1)
+                    hit = head[at] == mine
+                    told = np.r_[mine[~hit], np.delete(head, at[hit])].view(np.int64) if tell else None
+                    for k, v in zip(out, (a, b, int(hit.sum()), len(head), len(mine), told), strict=True):
+                        out[k].append(v)
+                yield pa.RecordBatch.from_pydict(out, schema=COMPARED)
+
+        found = work.keep(rows.mapInArrow(run, "a long, b long, both long, size_a long, size_b long, apart array<long>"))
         work.drop(pairs, ids, texts)
         return found
 
+    def linked(self) -> str:
+        """SQL for pairs of compare() that reach the threshold."""
+        return f"{100 + self.percent} * both >= {self.percent} * (size_a + size_b)"
+
     def merged(self, comp: DataFrame, links: DataFrame) -> DataFrame:
         """comp after further links: only the components that these touch are contracted again."""
         ends = links.join(comp.toDF("a", "ca"), "a", "left").join(comp.toDF("b", "cb"), "b", "left")
@@ -322,38 +380,105 @@ class Join:
         return self.work.keep(moved.union(step.join(comp, "node", "left_anti").select("node", "component")))
 
     def unjoined(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
-        """list, sig, size, place and component c of the rows of lists whose sets aren't all in one component; others have nothing more to tell."""
-        named = rows.select("list", "sig", "size", "place").join(comp.toDF("sig", "component"), "sig", "left").withColumn("c", F.coalesce("component", "sig")).drop("component")
-        named = self.work.keep(named)
-        mixed = named.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("list")
-        out = self.work.keep(named.join(mixed, "list", "left_semi"))
-        self.work.drop(named)
+        """list, sig, size, place, component c and n (the list's length) of the lists whose sets aren't all in
+        one component; the others have nothing more to tell."""
+        named = rows.join(comp.toDF("sig", "component"), "sig", "left")
+        named = self.work.keep(named.select("list", "sig", "size", "place", F.coalesce("component", "sig").alias("c")))
+        mixed = named.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"))
+        mixed = self.work.keep(mixed.filter("lo != hi").select("list", "n"))
+        out = self.work.keep(named.join(mixed, "list"))
+        self.work.drop(named, mixed)
         return out
 
-    def delegates(self, rows: DataFrame, n: int) -> DataFrame:
-        """Pairs (a, b) of a set and a member of another component, a few for each such component.
-
-        In each list the sets meet one delegate, drawn anew by round and list, so that a set gets to know
-        many members of a large component. How often it meets the component, whichever the member, stands
-        for the pair's own count of lists. These pairs only join components sooner; none is left out for good."""
-        draw = F.struct(F.xxhash64(F.lit(n), "list", "sig"), F.col("sig").alias("sig0"), F.col("size").alias("size0"), F.col("place").alias("place0"), F.col("c").alias("c0"))
-        drawn = rows.groupBy("list").agg(F.min(draw).alias("d")).select("list", "d.sig0", "d.size0", "d.place0", "d.c0")
-        met = rows.join(drawn, "list").filter(f"c != c0 AND {could_link('', '0', self.percent)}")
-        met = met.groupBy("sig", "c0", "sig0").agg(F.sum(F.when(F.col("place") >= 0, 1).otherwise(0)).alias("m"), F.max(F.least("size", "size0")).alias("low"), F.max(F.greatest("size", "size0")).alias("high"))
-        # a set has no more such rows than prefix n-grams
-        of_set = Window.partitionBy("sig", "c0")
-        met = met.withColumn("all", F.sum("m").over(of_set)).withColumn("nth", F.row_number().over(of_set.orderBy(F.desc("m"), "sig0")))
-        met = met.filter(f"nth <= {DELEGATES} AND (high <= {self.light} OR 3 * all >= {least_lists(self.percent)})")
-        return met.select(F.least("sig", "sig0").alias("a"), F.greatest("sig", "sig0").alias("b")).distinct()
-
-    def classes(self) -> tuple[DataFrame, DataFrame]:
-        """Of every document with a text and id: (doc, size, sig); of every linked set: (node, component), both signatures."""
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """rows with band, home and n, the number of sets of the cell. Lists of at most `short` sets are one cell;
+        longer ones are dealt by band of size, each set at home in its own and a guest in the one above, so that
+        sets of near enough size share a cell in which one of them at least is at home."""
+        few = rows.filter(F.col("n") <= self.short).selectExpr("list", "-1 AS band", "true AS home", "sig", "size", "place", "c", "n")
+        own = F.floor(0.999999 * F.log(F.col("size").cast("double")) / F.log(F.lit(100 / self.percent))).cast("int")
+        many = rows.filter(F.col("n") > self.short).withColumn("own", own)
+        many = many.select("list", F.explode(F.array("own", F.col("own") + 1)).alias("band"), "own", "sig", "size", "place", "c")
+        cell = many.groupBy("list", "band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"))
+        cell = self.work.keep(cell.filter("lo != hi").select("list", "band", "n"))
+        many = many.join(cell, ["list", "band"]).selectExpr("list", "band", "band = own AS home", "sig", "size", "place", "c", "n")
+        return self.work.keep(few.union(many))
+
+    def in_short_cells(self, cells: DataFrame, light: int) -> DataFrame:
+        """Pairs (a, b) that meet in cells of at most `short` sets, and in enough of them.
+
+        A pair that meets in a longer cell too is looked for there, so the number of short cells decides only
+        for pairs that have no other."""
+        few = cells.filter(F.col("n") <= self.short)
+        names = ["home", "sig", "size", "place", "c"]
+        x, y = (few.select("list", "band", *[F.col(n).alias(n + k) for n in names]) for k in "xy")
+        met = x.join(y, ["list", "band"]).filter(f"cx < cy AND (homex OR homey) AND {could_link('x', 'y', self.percent)}")
+        met = met.selectExpr("least(sigx, sigy) AS a", "greatest(sigx, sigy) AS b", "placex AS place", "least(sizex, sizey) AS low", "greatest(sizex, sizey) AS high")
+        return supported(met, light, self.percent)
+
+    def anew(self, cells: DataFrame, level: np.ndarray, nodes: DataFrame) -> DataFrame:
+        """The shared lists of the sets in longer cells, whose n-grams now come last. Two linked sets that meet in a
+        longer cell are both among these sets, and so meet here by the same argument, light ones by k = 1 too."""
+        many = cells.filter(F.col("n") > self.short)
+        longest = many.filter("place >= 0").groupBy("list").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "list").limit(MOST_LAST)
+        last = np.sort(longest.select("list").toPandas()["list"].to_numpy(dtype=np.int64).view(np.uint64))
+        sets = self.work.keep(many.select("sig").distinct())
+        ids = self.work.keep(nodes.join(sets, "sig").select(F.col("doc").alias("d")).distinct())
+        # another text under one of these ids is posted too, as any set may be
+        post = postings(self.texts(ids), level, 0, self.percent, "text", self.width, last)
+        return self.work.keep(shared_lists(post, self.percent).select("list", "sig", "size", "place"))
+
+    def stars(self, cells: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a leader and a set, such that any two sets of near enough size that meet in a longer
+        cell, and are in different components, have a leader in common.
+
+        The leader of a cell is the set whose prefix stands in most of the longer cells, for its length: one with
+        few n-grams of its own. That order is the same in all cells, so a set gets to few leaders."""
+        many = cells.filter(F.col("n") > self.short)
+        rank = many.groupBy("sig").agg((F.count("*") / F.max(F.floor(F.col("size") * (100 - self.percent) / 100) + 1)).alias("rank"))
+        heads = many.select("list", "band", "sig").join(rank, "sig").groupBy("list", "band").agg(F.max(F.struct("rank", "sig"))["sig"].alias("a"))
+        return many.select("list", "band", F.col("sig").alias("b")).join(self.work.keep(heads), ["list", "band"]).filter("a != b").select("a", "b").distinct()
+
+    def around_leaders(self, told: DataFrame, comp: DataFrame) -> DataFrame:
+        """Pairs (a, b) that may link, from what leaders' sets and the sets around them have apart.
+
+        Let x lack m_x of leader L's n-grams and share o_x with it. Then x and y share o_x - m_y n-grams and those
+        that x and y both have apart from L. If x is not linked with L, what a link of x and y takes beyond
+        o_x - m_y is more than c (|y| - |L|) + m_y with c = p / (100 + p), so at least one. So pairs whose sets
+        both link with L are left out, and of the others the two `apart` sets must share enough. Those are put
+        in order by how many sets around L have the n-gram apart, and only prefixes are posted: n-grams apart
+        in one set only come first, and near copies have many of them."""
+        p = self.percent
+        t = told.dropDuplicates(["a", "b"]).join(comp.toDF("b", "component"), "b", "left")
+        need = f"ceil({p} * (size_a + size_b) / {100 + p})"
+        t = t.selectExpr("a", "b", "coalesce(component, b) AS c", "size_b AS size", "both", "size_a - both AS m", "size(apart) AS k", "apart", f"{self.linked()} AS near", f"{need} - both AS lacks")
+        # as y against any x that L isn't linked with, and as x, not linked with L, against any y
+        t = self.work.keep(t.selectExpr("*", f"k - floor((100 * m + {p} * (k - m)) / {100 + p}) AS as_y", "CASE WHEN near THEN 0 ELSE k - lacks + 1 END AS as_x"))
+        each = t.selectExpr("a", "b", "explode(apart) AS g")
+        counts = self.work.keep(each.groupBy("a", "g").agg(F.count("*").alias("n")).filter("n > 1"))
+        of_set = Window.partitionBy("a", "b")
+        shared = each.join(counts, ["a", "g"]).withColumn("nth", F.row_number().over(of_set.orderBy("n", "g"))).withColumn("all", F.count("*").over(of_set))
+        # n-grams that one set only has apart meet nothing: places and prefixes are those of the others
+        ranked = shared.join(t.drop("apart"), ["a", "b"]).withColumn("alone", F.expr("k - all")).withColumn("place", F.expr("nth - 1"))
+        ranked = ranked.withColumns({"as_x": F.expr("as_x - alone"), "as_y": F.expr("as_y - alone"), "k": F.col("all")})
+        names = ["b", "c", "size", "both", "m", "k", "near", "as_x", "as_y", "place"]
+        posted = self.work.keep(ranked.filter("place < greatest(as_x, as_y)").select("a", "g", *names))
+        x, y = (posted.select("a", "g", *[F.col(n).alias(f"{n}_{s}") for n in names]) for s in "xy")
+        to_x = "CASE WHEN near_y THEN as_x_x ELSE as_y_x END"
+        fit = f"(near_y OR b_x < b_y) AND 100 * least(size_x, size_y) >= {p} * greatest(size_x, size_y)"
+        asks = f"ceil({p} * (size_x + size_y) / {100 + p}) - both_x + m_y"
+        enough = f"least(place_x, place_y) + 1 + least(k_x - place_x - 1, k_y - place_y - 1) >= {asks}"
+        met = x.filter("NOT near_x").join(y.filter("place_y < as_y_y"), ["a", "g"]).filter(f"c_x != c_y AND place_x < {to_x} AND {fit} AND {enough}")
+        # of what two sets share, that set's prefix whose end comes first has all but its rest
+        met = met.groupBy("a", "b_x", "b_y").agg(F.count("*").alias("n"), F.first(F.expr(f"{asks} - greatest(0, k_x - ({to_x}), k_y - as_y_y)")).alias("least"))
+        return met.filter("n >= least").selectExpr("b_y AS a", "b_x AS b").distinct()
+
+    def classes(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Of every document with a text and id: (doc, size, sig); of every set (sig, doc, size); of every linked
+        set (node, component), both signatures."""
         work, percent = self.work, self.percent
         told = work.keep(profile(self.docs, self.key, self.text, self.width))
-        members = told.filter("bucket IS NULL").select(F.col(self.key).alias("doc"), "size", "sig")
-        counts = told.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("n")).toPandas()
-        sketch = np.zeros(SKETCH)
-        sketch[counts["bucket"].to_numpy(dtype=np.int64)] = counts["n"]
+        members = told.filter("slice IS NULL").select(F.col(self.key).alias("doc"), "size", "sig")
+        sketch = total_sketch(told.filter("slice IS NOT NULL"))
         level = np.round(4 * np.log1p(sketch)).astype(np.int32)
         nodes = work.keep(members.filter("size > 0").groupBy("sig").agg(F.min("doc").alias("doc"), F.first("size").alias("size")))
         sizes = {r["size"]: r["count"] for r in nodes.filter(F.col("size") <= LARGEST_LIGHT).groupBy("size").count().collect()}
@@ -362,43 +487,62 @@ class Join:
         self.light = boundary(sizes, length, percent)
         lists = work.keep(shared_lists(postings(self.docs, level, self.light, percent, self.text, self.width), percent))
         work.sweep()
-        order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-        span = [F.least("size", "size0").alias("low"), F.greatest("size", "size0").alias("high")]
-        near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent)).select(F.col("sig0").alias("a"), F.col("sig").alias("b"), "place", *span)
-        asked = work.keep(supported(near.select(*order, "place", "low", "high"), self.light, percent, 3))
-        comp = components(self.check(asked, nodes), work)
-        rows = work.keep(lists.select("list", "sig", "size", "place"))
+        near = lists.filter("sig0 IS NOT NULL").filter(could_link("", "0", percent))
+        near = near.selectExpr("sig0 AS a", "sig AS b", "place", "least(size, size0) AS low", "greatest(size, size0) AS high")
+        asked = work.keep(supported(near, self.light, percent, 3))
+        found = self.compare(asked.withColumn("tell", F.lit(False)), nodes)
+        comp = components(found.filter(self.linked()).select("a", "b"), work)
+        rows = self.unjoined(lists, comp)
         work.drop(lists)
-        for n in range(ROUNDS):
-            old, rows = rows, self.unjoined(rows, comp)
-            met = work.keep(self.delegates(rows, n).join(asked, ["a", "b"], "left_anti"))
-            more = self.check(met, nodes)
-            work.drop(old)
-            work.sweep()
-            asked = asked.union(met)
-            if more.isEmpty():
-                break
-            comp = self.merged(comp, more)
-        old, rows = rows, self.unjoined(rows, comp)
-        work.drop(old)
         work.sweep()
-        x, y = (rows.toDF("list", f"sig{k}", f"size{k}", f"place{k}", f"c{k}") for k in "xy")
-        far = x.join(y, "list").filter(f"cx < cy AND {could_link('x', 'y', percent)}").select(F.col("sigx").alias("a"), F.col("sigy").alias("b"), F.col("placex").alias("place"), F.least("sizex", "sizey").alias("low"), F.greatest("sizex", "sizey").alias("high"))
-        far = work.keep(supported(far.select(*order, "place", "low", "high"), self.light, percent).join(asked, ["a", "b"], "left_anti"))
-        more = self.check(far, nodes)
-        if not more.isEmpty():
-            comp = self.merged(comp, more)
-        return members, comp
+        before = asked.selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
+        cells = self.cells(rows)
+        pairs = self.in_short_cells(cells, self.light)
+        if not cells.filter(F.col("n") > self.short).isEmpty():
+            cells = self.cells(self.unjoined(self.anew(cells, level, nodes), comp))
+            pairs = pairs.union(self.in_short_cells(cells, 0)).distinct()
+        pairs = pairs.join(before, ["a", "b"], "left_anti").withColumn("tell", F.lit(False))
+        found = self.compare(pairs.union(self.stars(cells).withColumn("tell", F.lit(True))), nodes)
+        comp = self.merged(comp, found.filter(self.linked()).select("a", "b"))
+        told = found.filter("apart IS NOT NULL")
+        if not told.isEmpty():
+            more = self.compare(self.around_leaders(told, comp).withColumn("tell", F.lit(False)), nodes)
+            comp = self.merged(comp, more.filter(self.linked()).select("a", "b"))
+        return members, nodes, comp
 
 
 def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", width: int = WORDS_PER_GRAM) -> DataFrame:
     """key, n_shingles and component_id of each row of docs."""
     j = Join(docs, percent, key, text, width)
-    members, comp = j.classes()
-    whole = members.filter("size > 0").join(comp.toDF("sig", "component"), "sig", "left").withColumn("c", F.coalesce("component", "sig"))
-    whole = j.work.keep(whole.select("doc", "size", "c"))
-    least = whole.groupBy("c").agg(F.min("doc").alias("component_id"))
-    linked = whole.join(least, "c").select(F.col("doc").alias(key), F.col("size").alias("n_shingles"), "component_id")
+    members, nodes, comp = j.classes()
+    # a component's least id is found over sets, then carried to the sets and from them to their rows
+    of_set = nodes.join(comp.toDF("sig", "c"), "sig")
+    least = j.work.keep(of_set.groupBy("c").agg(F.min("doc").alias("least")))
+    named = j.work.keep(of_set.join(least, "c").select("sig", "least"))
+    whole = members.filter("size > 0").join(nodes.select("sig", F.col("doc").alias("own")), "sig").join(named, "sig", "left")
+    linked = whole.select(F.col("doc").alias(key), F.col("size").alias("n_shingles"), F.coalesce("least", "own").alias("component_id"))
     empty = members.filter("size = 0").select(F.col("doc").alias(key), "size", F.col("doc").alias("component_id"))
     without = docs.filter(F.col(key).isNull() | F.col(text).isNull()).select(F.col(key), F.lit(0).cast("long"), F.col(key))
     return linked.union(empty).union(without)
+
+
+def deduplicate(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", width: int = WORDS_PER_GRAM) -> DataFrame:
+    """Of each component of linked texts the row with the smallest id, all columns as they are.
+
+    Rows are told apart by id and text, so a row goes for its own text only, whatever else bears its id. Ids that
+    are null come last in a component. Of rows with one id and one text the first stays, by their other columns.
+    Rows without words or text link with nothing and stay, but for such repeated ones."""
+    work = Workspace(docs.sparkSession)
+    order = [c for c, t in docs.dtypes if c not in (key, text) and not t.startswith("map")]
+    row = F.xxhash64(F.col(key), F.col(text))
+    found = join(docs.select(row.alias("row"), F.col(text).alias("text")), percent, "row", "text", width)
+    ids = docs.select(row.alias("row"), F.col(key).alias("id")).groupBy("row").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    named = work.keep(found.select("row", "component_id").distinct().join(ids, "row"))
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))["row"].alias("first"))
+    named = named.join(work.keep(first), "component_id")
+    # only what goes, and what stands more than once, is joined back; written first, so that its size is known
+    special = work.keep(named.filter("row != first OR n > 1").select("row", (F.col("row") == F.col("first")).alias("stays")))
+    met = docs.withColumn("_row", row).join(special.toDF("_row", "_stays"), "_row", "left")
+    plain = met.filter("_stays IS NULL").select(*docs.columns)
+    again = met.filter("_stays").withColumn("_n", F.row_number().over(Window.partitionBy("_row").orderBy(*order or ["_row"])))
+    return plain.union(again.filter("_n = 1").select(*docs.columns))

@@ -15,12 +15,15 @@ All texts of a block are worked on side by side. Whole texts are read; the model
 buckets) is all that reaches the driver.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, as is every text if nothing
-can be learned; ties go to the language that sorts first; repeated rows each give a row; other columns
-stay out of the result.
+can be learned; a null id is not held out; ties go to the language that sorts first; repeated rows each give
+a row; an empty table gives no rows; other columns stay out of the result of predict_all, and identify refuses
+columns that bear the names it adds. Very long texts are taken whole, PIECE characters at a time: pieces end at
+white space (or after twice as many characters without any) and segments start anew there.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +46,9 @@ SMOOTHING = 0.5
 #: neighbouring trigrams share letters and short clean texts may be half tokens and numbers.
 SLACK, DEVIATIONS = 2.0, 8.0
 BLOCK = 1 << 20
+PIECE = 1 << 17
 
+_space = re.compile(r"\s")
 _letters: np.ndarray | None = None
 
 
@@ -80,6 +85,27 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)[some], (of[1:-1] - 1)[some], n_letters
 
 
+def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """The texts in parts of bounded size: the number of each part's text, and the part."""
+    owner, held, size = [], [], 0
+    for i, t in enumerate(texts):
+        at = 0
+        while t and at < len(t):
+            end = at + PIECE
+            if end < len(t):
+                gap = _space.search(t, end, end + PIECE)
+                end = gap.start() if gap else end + PIECE
+            owner.append(i)
+            held.append(t[at:end])
+            size += len(held[-1])
+            at = end
+            if size >= PIECE:
+                yield np.array(owner), held
+                owner, held, size = [], [], 0
+    if held:
+        yield np.array(owner), held
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -90,19 +116,30 @@ class Model:
         """Language, its share and all shares (texts x languages)."""
         return self.judge(texts)[:3]
 
+    def segments(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each segment the log-likelihood in each language, the text it stands in and its number of n-grams;
+        and the number of letters of each text."""
+        n_letters = np.zeros(len(texts), np.int64)
+        told = [(np.zeros((0, len(self.languages))), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for owner, parts in pieces(texts) if self.languages else ():
+            bucket, of, letters_of = grams(parts)
+            np.add.at(n_letters, owner, letters_of)
+            if len(bucket):
+                starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                inside = np.arange(len(of)) - np.repeat(starts, np.diff(np.r_[starts, len(of)]))
+                cuts = np.flatnonzero(inside % GRAMS == 0)
+                ll = np.add.reduceat(self.log_p[bucket], cuts, axis=0).astype(np.float64)
+                told.append((ll, owner[of[cuts]], np.diff(np.r_[cuts, len(of)])))
+        return *(np.concatenate(x) for x in zip(*told, strict=True)), n_letters
+
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], np.ndarray, np.ndarray]:
         """What predict() tells, and whether each text is as likely as texts of its segments' languages are."""
         n, k = len(texts), len(self.languages)
         fits = np.zeros(n, bool)
-        bucket, of, n_letters = grams(texts)
         shares = np.zeros((n, k))
-        if not k or not len(bucket):
+        ll, seg, n_grams, n_letters = self.segments(texts)
+        if not len(seg):
             return ["und"] * n, [0.0] * n, shares, fits
-        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        inside = np.arange(len(of)) - np.repeat(starts, np.diff(np.r_[starts, len(of)]))
-        cuts = np.flatnonzero(inside % GRAMS == 0)
-        ll = np.add.reduceat(self.log_p[bucket], cuts, axis=0).astype(np.float64)
-        seg = of[cuts]
         docs, first, size = np.unique(seg, return_index=True, return_counts=True)
         per = np.repeat(np.arange(len(docs)), size)
         total = np.add.reduceat(ll, first, axis=0)  # one language for all of a document
@@ -110,7 +147,6 @@ class Model:
         peak = ll.max(1, keepdims=True)
         like = np.exp(ll - peak)
         base = np.add.reduceat(peak[:, 0], first)
-        n_grams = np.diff(np.r_[cuts, len(of)])
         mean, variance = (np.add.reduceat(n_grams * x[ll.argmax(1)], first) for x in self.own)
         fits[docs] = base - mean >= -SLACK * np.add.reduceat(n_grams, first) - DEVIATIONS * np.sqrt(variance)
 
@@ -168,10 +204,12 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCUMENTS, text: str =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for t in chunks(batches, text, BLOCK):
-            bucket, of, _ = grams(t.column(text).to_pylist())
             names = np.array(t.column(lang).to_pylist(), dtype=object)
-            for name in set(names.tolist()):
-                sums[name] = sums.get(name, 0) + np.bincount(bucket[names[of] == name], minlength=BUCKETS)
+            for owner, parts in pieces(t.column(text).to_pylist()):
+                bucket, of, _ = grams(parts)
+                named = names[owner[of]]
+                for name in set(named.tolist()):
+                    sums[name] = sums.get(name, 0) + np.bincount(bucket[named == name], minlength=BUCKETS)
         for name, s in sums.items():
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()), "n": pa.array(s[at], pa.int64())})
@@ -189,12 +227,14 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCUMENTS, text: str =
 
 
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The `keep` columns (all if None) with lang_pred, score and shares (map of the languages with a share)."""
     keep = docs.columns if keep is None else keep
+    if {"lang_pred", "score", "shares"} & set(keep):
+        raise ValueError("lang_pred, score and shares are columns of the result; rename or leave out those of the input")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,14 +250,18 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("shares", T.MapType(T.StringType(), T.DoubleType()))]))
 
 
-def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of docs, columns as they are, whose text has letters, one language with at least that share, and the likelihood of learned languages."""
+def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str = "lang", fill: bool = False) -> DataFrame:
+    """The rows of docs whose text has letters, one language with at least that share, and the likelihood of learned
+    languages. Columns are as they are; with `fill` a null language becomes the predicted one."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, lang=lang, text=text))
+    at = docs.columns.index(lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for t in chunks(batches, text, BLOCK):
             pred, score, _, fits = m.judge(t.column(text).to_pylist())
+            named = [p if x is None and fill else x for x, p in zip(t.column(lang).to_pylist(), pred, strict=True)]
+            t = t.set_column(at, t.schema.field(at), pa.array(named, t.schema.field(at).type))
             yield from t.filter(pa.array([p != "und" and s >= least and f for p, s, f in zip(pred, score, fits.tolist(), strict=True)], pa.bool_())).to_batches()
 
     return docs.mapInArrow(run, docs.schema)
@@ -226,4 +270,5 @@ def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str
 def predict_all(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document; the held-out third is never learned from."""
     model = train(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
-    return identify(docs.select("doc_id", "text"), model, keep=["doc_id"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    told = identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

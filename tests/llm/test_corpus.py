@@ -297,6 +297,44 @@ def test_jaccard_join_matches_brute_force(spark):
     assert got == brute_join(enumerate(texts))
 
 
+def hot_texts(rng, n, length, passage):
+    """Near copies of one text with 0 to 30 % of their words edited, some of them copied and edited again, and
+    texts that share a passage but little else."""
+    base = [f"b{x}" for x in rng.integers(0, 5000, length)]
+    made = [base]
+    for k in range(n):
+        words = list(base if k % 4 else made[rng.integers(len(made))])
+        for _ in range(rng.integers(0, max(2, len(words) * 3 // 50))):
+            at, new = rng.integers(len(words)), f"v{rng.integers(1 << 30)}"
+            words[at : at + rng.integers(0, 2)] = [new][: rng.integers(0, 2)]
+        made.append(words[: len(words) - rng.integers(0, len(words) // 5) * (k % 7 == 0)])
+    common = [f"c{x}" for x in range(passage)]
+    for k in range(n):
+        own = [f"o{rng.integers(1 << 30)}" for _ in range(rng.integers(passage // 4, 2 * passage))]
+        made.append([*own[: k % 9], *common[k % 5 :], *own[k % 9 :]])
+    return [" ".join(w) for w in made]
+
+
+@pytest.mark.parametrize(("seed", "length", "short"), [(1, 120, 16), (2, 30, 2), (3, 60, 0)])
+def test_jaccard_join_of_hot_groups_matches_brute_force(spark, monkeypatch, seed, length, short):
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "STAR", 16)
+    texts = hot_texts(np.random.default_rng(seed), 150, length, 40)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(d).collect()}
+    want = brute_join(enumerate(texts))
+    assert got == want and len({c for _, c in want.values()}) > 50
+
+
+def test_deduplicate_goes_by_row(spark):
+    text = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    data = [(1, text("a", 40), "x"), (2, text("a", 40) + " end", "x"), (2, text("b", 40), "y"), (3, text("c", 40), "z"), (3, text("c", 40), "y"), (None, text("a", 40), "x"), (None, text("d", 40), "x"), (4, None, "x"), (5, "", "x"), (5, "", "x"), (6, None, None)]
+    d = spark.createDataFrame(data, "doc_id long, text string, component_id string")
+    got = Counter(tuple(r) for r in jaccard.deduplicate(d).collect())
+    assert got == Counter([data[0], data[2], data[4], data[6], data[7], data[8], data[10]])
+    assert jaccard.deduplicate(d.limit(0)).count() == 0
+
+
 def test_jaccard_on_odd_rows(spark, odd):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(odd).collect())
     assert got == Counter({(1, 0, 1): 1, (2, 0, 2): 1, (3, 1, 3): 2, (4, 1, 4): 1, (None, 0, None): 1, (5, 1, 5): 1})
@@ -316,8 +354,10 @@ def test_jaccard_with_two_texts_under_one_id(spark):
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 300)] + [(5, 5)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), Workspace(spark)).collect()}
-    assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(200, 300)} == {7}
+    for at_most in (0, 1 << 17):
+        found = components(spark.createDataFrame(edges, "a long, b long"), Workspace(spark), at_most=at_most)
+        got = {r.node: r.component for r in found.collect()}
+        assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(200, 300)} == {7}
 
 
 # WARC
