@@ -19,15 +19,13 @@ MIXTURE = mixing.Mixture(percent=90, epochs=1)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.keep_identified(docs, LEAST_SHARE)
+    """Rejects texts in none of the learned languages; the others get the predicted language where they had none."""
+    return langid.keep_identified(docs, LEAST_SHARE, fill=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest id stays."""
-    found = jaccard.join(docs.select("doc_id", "text"))
-    # only what goes is joined back; it is written first, so that the planner knows its size
-    gone = Workspace(spark).keep(found.filter("doc_id != component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each component of similar documents the one with the smallest id stays, each row by its own text."""
+    return jaccard.deduplicate(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
