@@ -1,11 +1,13 @@
 """URL filters: host-suffix and path-prefix expressions, equi-joined to rules on short hash prefixes.
 
-Each URL becomes every dot-separated suffix of its host followed by every prefix of its path that is as
-long as some rule's path. Expressions meet rules on the first 8 hex digits of their SHA-256; full digests
-confirm, and the longest rule wins (of two of the same length, the smaller one). All of it is DataFrame code.
+Each URL becomes every dot-separated suffix of its host that has no more labels than some rule's host and is
+followed by every prefix of its path that is as long as some rule's path. Expressions meet rules on the first 8
+hex digits of their SHA-256; full digests confirm, and the longest rule wins (of two of the same length, the
+smaller one). All of it is DataFrame code.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and no rule; an empty table
-gives no rows; repeated rows are judged each by itself; further columns stay out of the result.
+gives no rows; repeated rows are judged each by itself; further columns stay out of the result; a host of very
+many labels has no more expressions than the rules' longest host asks for.
 """
 
 from __future__ import annotations
@@ -57,7 +59,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, defau
     rows = pages.select(F.col(key), F.col(url).alias("_url")).withColumn("_row", F.monotonically_increasing_id())
     rows = rows.select("_row", key, host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"))
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    longest = max((h.count(".") + 1 for h, _, _ in rules), default=1)
+    tail = F.slice(labels, F.greatest(F.size(labels) - longest + 1, F.lit(1)), longest)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(tail)), lambda i: F.array_join(F.slice(tail, i, longest), "."))
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]), lambda x: x.isNotNull())
     every = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
     told = rows.select("_row", key, "host", "path", F.explode_outer(every).alias("_x")).withColumn("_digest", F.sha2("_x", 256))
