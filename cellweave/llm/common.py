@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +13,21 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of an Arrow batch that a Python worker gets; the session's own setting holds where it is less.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, not by rows alone, in this session: a batch of long texts stands in memory
+    several times over, in the executor and in its workers."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if now.lstrip("-").isdigit() and not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +51,7 @@ class Workspace:
     """Tables written in the shared folder, so that lineage is cut and a lost executor costs only its tasks."""
 
     def __init__(self, spark: SparkSession):
+        small_batches(spark)
         self.spark, self.base, self.n = spark, shared_dir(spark), 0
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -59,6 +74,26 @@ class Workspace:
                 p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Bits of the filter that admitted() makes.
+BITMAP = 1 << 20
+
+
+def admitted(values: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test for columns, true for every value of values[name] and for few others as long as there are far less than
+    BITMAP of them. Its size is fixed, so it goes along with any plan."""
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP))
+    bits = np.zeros(BITMAP, np.uint8)
+    bits[values.select(spot(F.col(name)).alias("s")).distinct().toPandas()["s"].to_numpy(dtype=np.int64)] = 1
+    packed = F.lit(np.packbits(bits, bitorder="little").tobytes())
+
+    def test(c: Column) -> Column:
+        s = spot(c)
+        byte = F.conv(F.hex(F.substr(packed, (s / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.expr("1") == F.try_mod(F.floor(byte / F.pow(F.lit(2), s % 8)), F.lit(2)).cast("int")
+
+    return test
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, nothing else; the fast path is for texts that are all ASCII."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

@@ -6,12 +6,14 @@ blocks; a sparse directory holds each block's first key. Reading: a binary searc
 finds the blocks of a key, one inside the block finds the lines, and range reads fetch the records.
 
 Of records with equal payloads of at least `least` bytes the one with the largest page_id is a response
-and the rest are revisits that keep digest and length in their headers. The payload itself is not moved
-between executors: the decision is made on digests, and only digests with a duplicate are joined back.
+and the rest are revisits that keep digest and length in their headers. The decision is made on digests. Of the
+payloads only those are moved between executors that have a duplicate (and the few that a filter of fixed size
+takes for such), and only if the duplicates' digests are too many to be sent to all.
 
 Defined cases: null html is an empty payload; a null url has the empty key; repeated rows whose page_id
 is the largest of their payload are all responses; a null page_id counts as the smallest; an empty table
-gives no archives and no rows. Archives of failed task attempts are never referred to.
+gives no archives and no rows; very long pages are held one record at a time; further columns stay out.
+Archives of failed task attempts are never referred to.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace
+from .common import Workspace, admitted
 
 LEAST = 1000
 ARCHIVE_BYTES = 256 << 20
@@ -107,9 +109,11 @@ def decide(pages: DataFrame, work: Workspace, least: int = LEAST) -> DataFrame:
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("big", F.octet_length("payload") >= least)
     same = rows.filter("big").groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("largest")).filter("n > 1 AND largest IS NOT NULL").select("digest", "largest")
     same = work.keep(same)  # its size is then known to the planner, which broadcasts it only if it is small
-    met = rows.join(same, "digest", "left")
+    maybe = F.col("big") & admitted(same, "digest")(F.col("digest"))
+    alone = rows.filter(~maybe).select("page_id", "url", "payload", "digest", F.lit(None).cast("long").alias("refers_to"))
+    met = rows.filter(maybe).join(same, "digest", "left")
     refers = F.when(F.col("big") & ~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest"))
-    return met.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    return alone.union(met.select("page_id", "url", "payload", "digest", refers.alias("refers_to")))
 
 
 def write(rows: DataFrame, where: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -122,7 +126,7 @@ def write(rows: DataFrame, where: str, archive_bytes: int = ARCHIVE_BYTES) -> Da
         try:
             for b in batches:
                 lines = []
-                for x in b.to_pylist():
+                for x in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                     if out is None or at >= archive_bytes:
                         if out is not None:
                             out.close()
