@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, chunks, mix64
+from .common import Workspace, admitted, chunks, mix64
 from .components import components
 
 WORDS_PER_GRAM = 5
@@ -47,7 +47,6 @@ SKETCH = 1 << 20
 SLICE = 1 << 14
 #: No set above this size is light: its subsets would always cost more.
 LARGEST_LIGHT = 64
-BITMAP = 1 << 20
 #: Lists, or bands of size of a list, of up to so many sets are listed in pairs.
 SHORT = 16
 #: N-grams of the longest lists that are put last when sets of longer lists are posted anew (8 bytes each, sent to
@@ -308,14 +307,7 @@ class Join:
         """d and text of the documents with these ids (d).
 
         Of the documents only those that a bitmap of fixed size admits are moved."""
-        spot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP))
-        bits = np.zeros(BITMAP, np.uint8)
-        bits[ids.select(spot(F.col("d")).alias("s")).distinct().toPandas()["s"].to_numpy(dtype=np.int64)] = 1
-        packed = F.lit(np.packbits(bits, bitorder="little").tobytes())
-        s = spot(F.col("d"))
-        byte = F.conv(F.hex(F.substr(packed, (s / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        admitted = F.expr("1") == F.try_mod(F.floor(byte / F.pow(F.lit(2), s % 8)), F.lit(2)).cast("int")
-        some = self.docs.select(F.col(self.key).alias("d"), F.col(self.text).alias("text")).filter(admitted)
+        some = self.docs.select(F.col(self.key).alias("d"), F.col(self.text).alias("text")).filter(admitted(ids, "d")(F.col(self.key)))
         met = some.join(ids, "d", "left_semi").withColumn("h", F.xxhash64("text"))
         return self.work.keep(met.dropDuplicates(["d", "h"]).select("d", "text"))
 
