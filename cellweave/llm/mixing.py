@@ -8,12 +8,15 @@ each level is one window over the tree's nodes, in whole numbers.
 
 A leaf whose budget is A and whose documents hold N tokens takes A div N whole epochs and, of one more
 epoch in an order seeded by (seed, epoch, doc_id), the longest prefix of at most A mod N tokens. The
-prefix is found from sums per hash bucket; only the one bucket in which it ends is ordered row by row,
-so that a leaf with a third of all documents is spread over all tasks.
-
-Everything is DataFrame code. Defined cases: null language or source form their own branch `none`; null
-and empty texts have 0 tokens; rows with equal doc_id enter a prefix together or not at all; an empty
-table gives no rows; columns other than doc_id, text, lang and source are ignored.
+prefix is found from sums per hash bucket (at most 16 ** DIGITS a leaf); only the one bucket in which it ends
+is ordered row by row, so that a leaf with a third of all documents is spread over all tasks. What comes out is
+one row per leaf: whole epochs, and the place in the seeded order up to which documents enter. Documents meet
+that small table, and are not dealt anew themselves.
+
+Everything is DataFrame code. Defined cases: null language or source form their own branch `none`; a branch of
+weight 0 gets and supplies nothing; null and empty texts have 0 tokens; very long texts count whole; rows with
+equal doc_id enter a prefix together or not at all; an empty table gives no rows; columns other than doc_id,
+text, lang and source are ignored by mixture() and kept by select().
 """
 
 from __future__ import annotations
@@ -52,19 +55,24 @@ class Mixture:
         return f"CASE {cases} ELSE {self.other} END" if cases else str(self.other)
 
 
+def levels() -> list[Column]:
+    """The three levels of a document. A source's domain is its number modulo 4, which its last two digits tell."""
+    source = F.coalesce(F.col("source"), F.lit("none"))
+    number = F.regexp_extract(source, r"(\d+)", 1)
+    domain = F.when(number == "", "none").otherwise(F.concat(F.lit("d"), (F.substring(number, -2, 2).cast("int") % 4).cast("string")))
+    return [domain.alias("domain"), F.coalesce(F.col("lang"), F.lit("none")).alias("lang"), source.alias("source")]
+
+
 def narrow(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, the three levels and the number of words of the whole text. A source's domain is its number modulo 4."""
-    source = F.coalesce("source", F.lit("none"))
-    number = F.regexp_extract(source, r"(\d{1,9})", 1)
-    domain = F.when(number == "", "none").otherwise(F.concat(F.lit("d"), (number.cast("long") % 4).cast("string")))
+    """doc_id, the three levels and the number of words of the whole text."""
     tokens = F.size(F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), ""))
-    return docs.select("doc_id", domain.alias("domain"), F.coalesce("lang", F.lit("none")).alias("lang"), source.alias("source"), tokens.cast("long").alias("tokens"))
+    return docs.select("doc_id", *levels(), tokens.cast("long").alias("tokens"))
 
 
 def share(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     """nodes(parent..., name, budget of the parent, supply, weight) with budget replaced by the node's own."""
     by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
-    order = by.orderBy(F.col("supply") / F.col("weight"), name)
+    order = by.orderBy(F.try_divide(F.col("supply"), F.col("weight")), name)
     before = F.coalesce(F.sum("supply").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     onward = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     t = nodes.withColumn("_full", F.col("supply") * onward <= (F.col("budget") - before) * F.col("weight"))
@@ -76,7 +84,8 @@ def share(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 def budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
     """domain, lang, source, total and budget of each leaf, from domain, lang, source and total."""
-    leaves = leaves.withColumn("supply", F.col("total") * mix.epochs)
+    weighs = F.greatest(*[(mix.weight(x) == 0).cast("int") for x in LEVELS]) == 0
+    leaves = leaves.withColumn("supply", F.when(weighs, F.col("total") * mix.epochs).otherwise(0))
     keys: list[str] = []
     for level in LEVELS:
         nodes = leaves.groupBy(*keys, level).agg(F.sum("supply").alias("supply"), F.sum("total").alias("total")).withColumn("weight", mix.weight(level))
@@ -90,25 +99,54 @@ def budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
     return got.select(*LEVELS, "total", "budget")
 
 
-def mixture(docs: DataFrame, mix: Mixture = Mixture(), text: str = "text") -> DataFrame:
-    """doc_id, the levels, tokens, leaf_budget and copies (how often the document is used) of every row."""
-    work = Workspace(docs.sparkSession)
-    rows = work.keep(narrow(docs, text))
+def order_digest(mix: Mixture) -> Column:
+    """A document's place in its leaf's last, partial epoch."""
+    return F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("_whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+
+
+def bucket_of(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("int")
+
+
+def cuts(rows: DataFrame, mix: Mixture, work: Workspace) -> DataFrame:
+    """Of each leaf of narrow() rows: the levels, leaf_budget, _whole epochs, and _upto, the last digest of the
+    partial epoch's prefix ('' if it is empty, '~' if it holds all)."""
     leaves = work.keep(budgets(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("total")), mix))
-    leaves = leaves.select(*LEVELS, F.col("budget").alias("leaf_budget"), F.expr("CASE WHEN total > 0 THEN budget div total ELSE 0 END").alias("_whole"), F.expr("CASE WHEN total > 0 THEN budget % total ELSE 0 END").alias("_rest"))
-    digest = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("_whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = rows.join(leaves, LEVELS).withColumn("_md5", digest).withColumn("_bucket", F.conv(F.substring("_md5", 1, DIGITS), 16, 10).cast("int"))
+    part = lambda op: F.expr(f"CASE WHEN total > 0 THEN budget {op} total ELSE 0 END")
+    leaves = leaves.select(*LEVELS, F.col("budget").alias("leaf_budget"), part("div").alias("_whole"), part("%").alias("_rest"))
+    rows = rows.join(leaves, LEVELS).withColumn("_md5", order_digest(mix)).withColumn("_bucket", bucket_of(F.col("_md5")))
     sums = rows.groupBy(*LEVELS, "_rest", "_bucket").agg(F.sum("tokens").alias("_sum"))
     upto = F.sum("_sum").over(Window.partitionBy(*LEVELS).orderBy("_bucket"))
-    ends = sums.withColumn("_upto", upto).filter(F.col("_upto") > F.col("_rest")).groupBy(*LEVELS).agg(F.min(F.struct("_bucket", (F.col("_upto") - F.col("_sum")).alias("before"))).alias("_end"))
+    ends = sums.withColumn("_upto", upto).filter(F.col("_upto") > F.col("_rest"))
+    ends = ends.groupBy(*LEVELS).agg(F.min(F.struct("_bucket", (F.col("_upto") - F.col("_sum")).alias("before"))).alias("_end"))
     ends = work.keep(ends.select(*LEVELS, F.col("_end._bucket").alias("_last"), F.col("_end.before").alias("_before")))
-    rows = rows.join(ends, LEVELS, "left")
-    inner = F.col("_last").isNull() | (F.col("_bucket") < F.col("_last"))
-    sure = rows.filter(F.col("_last").isNull() | (F.col("_bucket") != F.col("_last"))).withColumn("_in", inner)
-    edge = rows.filter(F.col("_bucket") == F.col("_last"))
+    edge = rows.join(ends, LEVELS).filter(F.col("_bucket") == F.col("_last"))
     so_far = F.col("_before") + F.sum("tokens").over(Window.partitionBy(*LEVELS, "_bucket").orderBy("_md5"))  # ties enter together
-    both = sure.unionByName(edge.withColumn("_in", so_far <= F.col("_rest")))
-    return both.select("doc_id", *LEVELS, "tokens", "leaf_budget", (F.col("_whole") + F.col("_in").cast("long")).alias("copies"))
+    found = edge.withColumn("_in", so_far <= F.col("_rest")).groupBy(*LEVELS).agg(F.max(F.when(F.col("_in"), F.col("_md5"))).alias("_found"))
+    # where the bucket's first document is too much already, the prefix ends with the bucket before
+    start = F.lpad(F.lower(F.hex("_last")), DIGITS, "0")
+    ends = work.keep(ends.join(found, LEVELS).select(*LEVELS, F.coalesce("_found", start).alias("_upto")))
+    return work.keep(leaves.drop("_rest").join(ends, LEVELS, "left").withColumn("_upto", F.coalesce("_upto", F.lit("~"))))
+
+
+def copies(mix: Mixture) -> Column:
+    return (F.col("_whole") + (order_digest(mix) <= F.col("_upto")).cast("long")).alias("copies")
+
+
+def mixture(docs: DataFrame, mix: Mixture = Mixture(), text: str = "text") -> DataFrame:
+    """doc_id, the levels, tokens, leaf_budget and copies (how often the document is used) of every row."""
+    work = Workspace(docs.sparkSession)
+    rows = work.keep(narrow(docs, text))
+    return rows.join(cuts(rows, mix, work), LEVELS).select("doc_id", *LEVELS, "tokens", "leaf_budget", copies(mix))
+
+
+def select(docs: DataFrame, mix: Mixture = Mixture(), text: str = "text") -> DataFrame:
+    """The rows of docs that are used at least once, columns as they are."""
+    work = Workspace(docs.sparkSession)
+    told = cuts(work.keep(narrow(docs, text)), mix, work)
+    told = told.select(*[F.col(c).alias(f"_{c}") for c in LEVELS], "_whole", "_upto")
+    keyed = docs.withColumns({f"_{c}": v for c, v in zip(LEVELS, levels(), strict=True)})
+    return keyed.join(told, [f"_{c}" for c in LEVELS]).filter(copies(mix) > 0).select(*docs.columns)
 
 
 def mixture_sql(mix: Mixture = Mixture()) -> str:
