@@ -7,7 +7,6 @@ documents. run() writes each stage's result as Parquet in the shared folder and
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cellweave.llm import bpe, jaccard, langid, mixing
 from cellweave.llm.common import Workspace, table
@@ -30,9 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in their leaf's token-prefix."""
-    taken = mixing.mixture(docs, MIXTURE).filter("copies > 0").select(F.col("doc_id").alias("_id")).distinct()
-    taken = Workspace(spark).keep(taken)
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]), "left_semi").select(*docs.columns)
+    return mixing.select(docs, MIXTURE)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
