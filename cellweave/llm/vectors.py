@@ -11,8 +11,8 @@ A pair of cosine 0.93 shares a bucket of some table with probability 0.9987, one
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite components links with
 nothing, nor does one without a label; vectors of other lengths than their label's others only meet
-vectors of their own length; rows of equal vec_id are separate vectors of one component; an empty table
-gives no rows; further columns stay out.
+vectors of their own length; rows of equal vec_id are separate vectors, each with its own links; an empty
+table gives no rows; further columns stay out. Labels may be of any type that casts to string.
 """
 
 from __future__ import annotations
@@ -38,8 +38,13 @@ def usable(v: str = "embedding"):
     return F.coalesce((F.size(v) > 0) & fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def unit(column: pa.Array) -> list[np.ndarray]:
-    return [np.asarray(x, np.float64) for x in column.to_pylist()]
+def units(raw: list[bytes], kind: type) -> list[np.ndarray] | np.ndarray:
+    """Unit vectors in double precision; one matrix if all have the same length."""
+    if len({len(r) for r in raw}) == 1:
+        x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+        x /= np.abs(x).max(1, keepdims=True)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return [units([r], kind)[0] for r in raw]
 
 
 def codes(x: np.ndarray) -> np.ndarray:
@@ -53,31 +58,25 @@ def codes(x: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> 31)) & 0x7FFFFFFF).astype(np.int32)
 
 
-def postings(classes: DataFrame) -> DataFrame:
-    """classes(rep, label, n, embedding) to rows (bucket parts t, label, code; rep, n, unit, codes)."""
+POSTED = pa.schema([("t", pa.int32()), ("label", pa.int64()), ("code", pa.int32()), ("cid", pa.int64()), ("n", pa.int64()), ("vector", pa.binary()), ("codes", pa.binary())])
+
+
+def postings(classes: DataFrame, kind: type) -> DataFrame:
+    """classes(cid, label, n, embedding) to rows (bucket parts t, label, code; cid, n, vector as given, codes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            vectors = unit(b.column(3))
-            out: dict[str, list] = {k: [] for k in ("t", "label", "code", "rep", "n", "unit", "codes")}
-            rep, label, n = (b.column(k).to_pylist() for k in range(3))
-            for dim in {len(v) for v in vectors}:
-                at = [i for i, v in enumerate(vectors) if len(v) == dim]
-                x = np.stack([vectors[i] for i in at])
-                x /= np.abs(x).max(1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                c = codes(x)
-                for k, i in enumerate(at):
-                    out["t"] += range(TABLES)
-                    out["label"] += [label[i]] * TABLES
-                    out["code"] += c[k].tolist()
-                    out["rep"] += [rep[i]] * TABLES
-                    out["n"] += [n[i]] * TABLES
-                    out["unit"] += [x[k].tobytes()] * TABLES
-                    out["codes"] += [c[k].tobytes()] * TABLES
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("t", pa.int32()), ("label", pa.int32()), ("code", pa.int32()), ("rep", pa.int64()), ("n", pa.int64()), ("unit", pa.binary()), ("codes", pa.binary())]))
-
-    return classes.select("rep", "label", "n", "embedding").mapInArrow(run, "t int, label int, code int, rep long, n long, unit binary, codes binary")
+            raw = [np.asarray(x, kind).tobytes() for x in b.column(3).to_pylist()]
+            cid, label, n = (b.column(k).to_pylist() for k in range(3))
+            for size in {len(r) for r in raw}:
+                at = [i for i, r in enumerate(raw) if len(r) == size]
+                c = codes(units([raw[i] for i in at], kind))
+                each = {"cid": cid, "label": label, "n": n, "vector": raw}
+                out = {k: [v[i] for i in at for _ in range(TABLES)] for k, v in each.items()}
+                out |= {"t": list(range(TABLES)) * len(at), "code": c.ravel(), "codes": [x.tobytes() for x in c for _ in range(TABLES)]}
+                yield pa.RecordBatch.from_pydict(out, schema=POSTED)
+
+    return classes.select("cid", "label", "n", "embedding").mapInArrow(run, "t int, label long, code int, cid long, n long, vector binary, codes binary")
 
 
 def pairs_of(first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -93,8 +92,8 @@ def pairs_of(first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray,
         at = to
 
 
-def links(cells: DataFrame, least: float) -> DataFrame:
-    """cells(cell, part, whole, t, rep, n, unit, codes), a cell's rows together: rows (a, b, n).
+def links(cells: DataFrame, least: float, kind: type) -> DataFrame:
+    """cells(cell, part, whole, t, cid, n, vector, codes), a cell's rows together: rows (a, b, n).
 
     With b = null: n more vectors are linked with a. Else: a and b are connected."""
 
@@ -109,19 +108,17 @@ def links(cells: DataFrame, least: float) -> DataFrame:
             cut, size = cut[size > 1], size[size > 1]
             if not len(cut):
                 return
-            part, whole, table, rep, n = (t.column(k).to_numpy() for k in ("part", "whole", "t", "rep", "n"))
-            units = t.column("unit").to_pylist()
+            part, whole, table, cid, n = (t.column(k).to_numpy() for k in ("part", "whole", "t", "cid", "n"))
+            x = units(t.column("vector").to_pylist(), kind)
             code = np.frombuffer(b"".join(t.column("codes").to_pylist()), np.int32).reshape(-1, TABLES)
-            linked, found = np.zeros(len(rep), np.int64), []
-            wide = np.array([len(u) for u in units])
-            x = np.frombuffer(b"".join(units), np.float64).reshape(len(units), -1) if (wide == wide[0]).all() else None
+            linked, found = np.zeros(len(cid), np.int64), []
             for i, j in pairs_of(cut, size):
                 ok = (part[i] != part[j]) | whole[i]  # inside a part, pairs count in one cell only
                 i, j = i[ok], j[ok]
-                if x is not None:
+                if isinstance(x, np.ndarray):
                     cos = np.einsum("ij,ij->i", x[i], x[j])
                 else:
-                    cos = np.array([np.dot(np.frombuffer(units[a]), np.frombuffer(units[b])) if wide[a] == wide[b] else -2.0 for a, b in zip(i.tolist(), j.tolist(), strict=True)])
+                    cos = np.array([x[u] @ x[v] if len(x[u]) == len(x[v]) else -2.0 for u, v in zip(i.tolist(), j.tolist(), strict=True)])
                 ok = cos >= least
                 i, j = i[ok], j[ok]
                 found.append((i, j))
@@ -132,12 +129,14 @@ def links(cells: DataFrame, least: float) -> DataFrame:
             if not found:
                 return
             i, j = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-            ids, num = np.unique(rep, return_inverse=True)
+            ids, num = np.unique(cid, return_inverse=True)
             root = roots(len(ids), num[i], num[j])
             some = np.flatnonzero(root != np.arange(len(ids)))
             total = np.bincount(num, weights=linked, minlength=len(ids)).astype(np.int64)
             lit = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.r_[ids[lit], ids[some]], pa.int64()), "b": pa.array([None] * len(lit) + ids[root[some]].tolist(), pa.int64()), "n": pa.array(np.r_[total[lit], np.zeros(len(some), np.int64)], pa.int64())})
+            a = pa.array(np.r_[ids[lit], ids[some]], pa.int64())
+            b = pa.array([None] * len(lit) + ids[root[some]].tolist(), pa.int64())
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b, "n": pa.array(np.r_[total[lit], np.zeros(len(some), np.int64)], pa.int64())})
 
         for b in batches:
             if not b.num_rows:
@@ -164,28 +163,33 @@ def links(cells: DataFrame, least: float) -> DataFrame:
 def near_duplicates(rows: DataFrame, least: float = 0.93, split: int = SPLIT) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of (vec_id, embedding, label)."""
     work = Workspace(rows.sparkSession)
-    rows = rows.select("vec_id", "label", "embedding").withColumn("_ok", usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
+    kind = np.float32 if rows.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
+    usable_row = usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    rows = rows.select("vec_id", "label", "embedding").withColumn("_ok", usable_row)
+    # equal vectors of a label are one class from here on, named by a hash, since ids may stand on several vectors
     sig = F.sha2(F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))), 256)
-    good = rows.filter("_ok").withColumn("_sig", sig)
-    member = good.select("vec_id", "label", "_sig")
-    classes = good.groupBy("label", "_sig").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
-    classes = work.keep(classes)  # equal vectors are one from here on
-    post = work.keep(postings(classes))
-    hot = post.groupBy("t", "label", "code").count().filter(F.col("count") > split).select("t", "label", "code", F.ceil(F.col("count") / split).cast("int").alias("parts"))
-    hot = work.keep(hot)
+    good = rows.filter("_ok").withColumn("label", F.xxhash64(F.col("label").cast("string"))).withColumn("cid", F.xxhash64("label", sig))
+    classes = good.groupBy("label", "cid").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
+    classes = work.keep(classes)
+    posted = post = work.keep(postings(classes, kind))
+    hot = post.groupBy("t", "label", "code").count().filter(F.col("count") > split)
+    hot = work.keep(hot.select("t", "label", "code", F.ceil(F.col("count") / split).cast("int").alias("parts")))
     post = post.join(hot, ["t", "label", "code"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("rep"), F.col("parts"))).otherwise(0).cast("int")
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), F.col("parts"))).otherwise(0).cast("int")
     post = post.withColumn("part", part).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     cell = F.concat_ws("/", "t", "label", "code", low, high)
-    cells = post.select(cell.alias("cell"), "part", (low == high).alias("whole"), "t", "rep", "n", "unit", "codes")
+    cells = post.select(cell.alias("cell"), "part", (low == high).alias("whole"), "t", "cid", "n", "vector", "codes")
     cells = cells.repartition("cell").sortWithinPartitions("cell")
-    found = work.keep(links(cells, least))
+    found = work.keep(links(cells, least, kind))
+    work.drop(posted)
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("more"))
     comp = components(found.filter("b IS NOT NULL").select("a", "b"), work)
-    told = classes.select("label", "_sig", "rep", "n").join(counts, F.col("rep") == F.col("a"), "left").join(comp, F.col("rep") == F.col("node"), "left")
-    told = told.select("label", "_sig", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    linked = member.join(told, ["label", "_sig"]).select("vec_id", "n_links", "component_id")
+    told = classes.select("cid", "rep", "n").join(counts, F.col("cid") == F.col("a"), "left").join(comp, F.col("cid") == F.col("node"), "left")
+    told = work.keep(told.select("cid", "rep", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "cid").alias("c")))
+    smallest = work.keep(told.groupBy("c").agg(F.min("rep").alias("component_id")))
+    told = work.keep(told.join(smallest, "c").select("cid", "n_links", "component_id"))
+    linked = good.select("vec_id", "cid").join(told, "cid").select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT _ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     every = linked.unionByName(alone)
     return every.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
