@@ -243,18 +243,46 @@ def test_nearest_neighbours(spark):
 
 def test_recall_where_the_share_decides():
     x, ids = np.random.default_rng(2).standard_normal((8000, 64)), np.arange(8000)
-    assert permutation.SHARE * len(x) > permutation.LEAST_RERANKED
     asked = ids[::200]
-    table_of = lambda at, **more: pd.DataFrame({"vec_id": at, "embedding": list(x[at]), **more})
-    got = permutation.search_block(table_of(ids), table_of(asked, uid=asked), x[np.random.default_rng(3).permutation(8000)[: permutation.PIVOTS]], permutation.SHARE, 10)
+    block = permutation.Block(ids, x, x[np.random.default_rng(3).permutation(8000)[: permutation.PIVOTS]])
     hit = 0
-    for i in asked:
-        d = ((x - x[i]) ** 2).sum(1)
-        d[i] = np.inf
-        hit += len(set(got.vec_id[got.query_id == i]) & set(np.argsort(d)[:10].tolist()))
+    for n, found, _ in block.search(x[asked], asked, permutation.SHARE, 10):
+        d = ((x - x[asked[n]]) ** 2).sum(1)
+        d[asked[n]] = np.inf
+        hit += len(set(found.tolist()) & set(np.argsort(d)[:10].tolist()))
     assert hit >= 0.9 * 10 * len(asked)
 
 
+def test_files_rank_by_footrule():
+    rng = np.random.default_rng(4)
+    x, pivots, m = rng.standard_normal((300, 8)), rng.standard_normal((24, 8)), 6
+    block = permutation.Block(np.arange(300), x, pivots, m)
+    q = rng.standard_normal(8)
+    place = lambda v: dict(zip(permutation.nearest_pivots(v[None], pivots, m)[0].tolist(), range(m), strict=True))
+    of_q = place(q)
+    footrule = np.array([sum(abs(of_x.get(p, m) - of_q.get(p, m)) for p in range(24)) for of_x in map(place, x)])
+    some = np.lexsort((np.arange(300), footrule))[:30]
+    want = sorted((np.sqrt(((x[i] - q) ** 2).sum()), i) for i in some)[:5]
+    ((_, found, d),) = block.search(q[None], np.array([-1]), 0.1, 5)
+    assert found.tolist() == [i for _, i in want] and np.allclose(d, [w for w, _ in want], rtol=1e-12)
+
+
+def test_neighbours_of_odd_rows(spark):
+    assert permutation.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0).count() == 0
+    data = [(0, [1.0, 0.0], 1, 1), (0, [0.0, 1.0], 2, 2), (1, [1.0, 0.0], 3, 3), (2, [1.0, 0.0, 0.0], 4, 4), (None, [1.0, 0.0], 5, 5), (100, [1.0, 0.0, 0.5], 6, 6)]
+    e = spark.createDataFrame(data, "vec_id long, embedding array<double>, uid long, score long")
+    got = Counter(tuple(r) for r in permutation.nearest(e, F.col("vec_id") % 100 == 0).collect())
+    assert got == Counter([(0, 1, 1, 0.0), (0, 1, 1, 2**0.5), (100, 1, 2, 0.5)])
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    data = [(5, [1.0, 0.0], "a"), (7, [1.0, 0.01], "a"), (5, [0.0, 1.0], "b"), (9, [0.01, 1.0], "b"), (5, [-1.0, 0.0], "a")]
+    for kind in ("float", "double"):
+        q = spark.createDataFrame(data, f"vec_id long, embedding array<{kind}>, label string")
+        got = Counter(tuple(r) for r in vectors.near_duplicates(q).collect())
+        assert got == Counter([(5, 1, 5, True), (7, 1, 5, False), (5, 1, 5, True), (9, 1, 5, False), (5, 0, 5, True)])
+
+
 # URLs
 
 
