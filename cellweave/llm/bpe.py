@@ -33,8 +33,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 NEAR = "\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf"
 NEAR_LETTER, NEAR_NUMBER, NEAR_SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 NEAR_WORDS = rf" ?[{NEAR_LETTER}]+| ?[{NEAR_NUMBER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{NEAR_SPACE}{NEAR_LETTER}{NEAR_NUMBER}]+|[{NEAR_SPACE}]+(?![^{NEAR_SPACE}])|[{NEAR_SPACE}]+"
-CACHED_WORDS = 100_000
-BLOCK = 1 << 20
+CACHED_WORDS = 200_000
+BLOCK = 2 << 20
 
 
 def byte_alphabet() -> list[str]:
