@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import stats
+
 
 def decimate(cells: DataFrame, value: str, factor: int) -> DataFrame:
     """The average of each block of factor x factor cells, nulls left out."""
     block = lambda c: F.expr(f"{c} div {factor}").cast("int").alias(c)
-    return cells.groupBy(block("row"), block("col")).agg(F.avg(value).alias(value))
+    return cells.groupBy(block("row"), block("col")).agg(F.avg(stats.finite(F.col(value))).alias(value))
 
 
 def stretch(cells: DataFrame, value: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
-    d = F.col(value).cast("double")
-    return cells.agg(F.percentile(d, F.lit(low)).alias("low"), F.percentile(d, F.lit(high)).alias("high"))
+    """Limits of a display stretch: the known values' quantiles."""
+    return stats.quantiles(cells, F.col(value), {"low": low, "high": high})
 
 
 def histogram(cells: DataFrame, value: str, bins: int = 60) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .stats import finite
+
 #: Classes, thresholds and image vocabulary.
 FUSED = {0: "unknown", 1: "building", 2: "road", 3: "tall_vegetation", 4: "low_vegetation", 5: "bare_soil", 6: "water", 7: "other"}
 IMAGE = {"unknown": 0, "building": 1, "road": 2, "vegetation": 3, "water": 4, "bare_soil": 5}
@@ -17,7 +19,8 @@ def plan(has_height: bool = True, has_gis: bool = True, vocabulary: dict[str, in
     conf = F.col("image_confidence") >= F.lit(CONFIDENT).cast("float")
     seen = lambda name: (F.col("image_class") == names[name]) & conf if name in names else F.lit(False)
     gis = lambda c: F.coalesce(F.col(c), F.lit(False))
-    h, known = F.col("object_height"), F.col("object_height").isNotNull()
+    h = finite(F.col("object_height"))  # NaN is no height; Spark would order it above all others
+    known = h.isNotNull()
     out = [(seen("water"), 6, 1, "image_water")]
     if has_gis:
         out.append((gis("in_water"), 6, 1, "gis_water"))
@@ -40,6 +43,15 @@ def plan(has_height: bool = True, has_gis: bool = True, vocabulary: dict[str, in
     return out
 
 
+#: What a pass without heights leaves out.
+SKIPPED = ["image_building_tall: no object height", "image_vegetation_tall: no object height", "image_road_low: no object height"]
+
+
+def skipped(has_height: bool = True) -> list[str]:
+    """The conditions that a plan leaves out, and why, for the run's record."""
+    return [] if has_height else list(SKIPPED)
+
+
 def fused(rules: list[tuple[Column, int, int, str]]) -> Column:
     """struct<fused_class, rule, count_key> of the first rule that holds."""
     made = lambda c, r, k: F.struct(F.lit(c).cast("short").alias("fused_class"), F.lit(r).cast("short").alias("rule"), F.lit(k).alias("count_key"))

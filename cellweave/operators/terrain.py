@@ -9,18 +9,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stats import finite
+
 FLAT = 1e-4
 
 
-def gradients(cells: DataFrame, cell_size: float, z: str = "z") -> DataFrame:
-    """Adds dz_dx and dz_dy by Horn's 3x3 weights with replicated edges; a missing neighbour gives null."""
-    v = F.col(z).cast("double")
+def gradients(cells: DataFrame, cell_size: float, z: str = "z", shape: tuple[int, int] | None = None) -> DataFrame:
+    """Adds dz_dx and dz_dy by Horn's 3x3 weights with replicated edges; a missing neighbour gives null.
+
+    A neighbour is missing where its value is null or NaN or its cell is not there. The edge is where shape (rows,
+    columns) says, or without it where a line of cells begins or ends."""
+    v = finite(F.col(z).cast("double"))
     along = Window.partitionBy("row").orderBy("col")
     down = Window.partitionBy("col").orderBy("row")
 
     def at(c: Column, n: int, w) -> Column:
-        """The n-th cell before; the cell's own value beyond the edge."""
-        return F.when(F.lag("row", n).over(w).isNull(), c).otherwise(F.lag(c, n).over(w))
+        """The cell before (n = 1) or after (-1); the cell's own value beyond the edge."""
+        line, size = ("col", 1) if w is along else ("row", 0)
+        there = F.lag(line, n).over(w)
+        edge = F.lit(True) if shape is None else F.col(line) == (0 if n > 0 else shape[size] - 1)
+        return F.when(there.isNull(), F.when(edge, c)).when(there == F.col(line) - n, F.lag(c, n).over(w))
 
     t = cells.withColumns({"_w": at(v, 1, along), "_e": at(v, -1, along)})
     t = t.withColumns({"_h": F.col("_e") - F.col("_w"), "_s": F.col("_w") + 2 * v + F.col("_e")})
@@ -56,13 +64,15 @@ def relief(cells: DataFrame, window_cells: int = 5, z: str = "z") -> DataFrame:
     r = window_cells // 2
     a = Window.partitionBy("row").orderBy("col").rangeBetween(-r, r)
     b = Window.partitionBy("col").orderBy("row").rangeBetween(-r, r)
-    t = cells.withColumns({"_hi": F.max(z).over(a), "_lo": F.min(z).over(a)})
+    v = finite(F.col(z))
+    t = cells.withColumns({"_hi": F.max(v).over(a), "_lo": F.min(v).over(a)})
     t = t.withColumns({"_hi": F.max("_hi").over(b), "_lo": F.min("_lo").over(b)})
-    return t.withColumn("relief", F.when(F.col(z).isNotNull(), F.col("_hi") - F.col("_lo"))).drop("_hi", "_lo")
+    return t.withColumn("relief", F.when(v.isNotNull(), F.col("_hi") - F.col("_lo"))).drop("_hi", "_lo")
 
 
 def normalised(dsm: Column, dem: Column, low: float = 0.0, high: float | None = None) -> Column:
     """Height above ground, clipped; null if either is."""
+    dsm, dem = finite(dsm), finite(dem)
     d = F.greatest(dsm - dem, F.lit(low))
     return F.when(dsm.isNotNull() & dem.isNotNull(), d if high is None else F.least(d, F.lit(high)))
 

@@ -129,7 +129,7 @@ def ter_07(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agg_01_describe", f"WITH {CELLS} SELECT count(z) AS count, round(min(z), 6) AS min, round(avg(z), 6) AS mean, round(max(z), 6) AS max, round(stddev_pop(z), 6) AS std, {', '.join(f'round(quantile_cont(z, {p / 100}), 6) AS p{p}' for p in (5, 25, 50, 75, 95))} FROM cells")
 def agg_01(spark: SparkSession, d: str) -> DataFrame:
-    t = cells(spark, d).agg(*stats.describe(F.col("z")))
+    t = stats.summary(cells(spark, d), F.col("z"))
     return t.select("count", *[F.round(c, 6).alias(c) for c in t.columns if c != "count"])
 
 
@@ -168,7 +168,8 @@ def agg_17(spark: SparkSession, d: str) -> DataFrame:
 @query("agg_22_negative_fraction", f"WITH {SURFACE} SELECT round(avg((dsm - z - 12 < -0.5)::INT), 6) AS negative_fraction, round(median(dsm - z - 12), 6) AS median_height FROM surface WHERE dsm IS NOT NULL")
 def agg_22(spark: SparkSession, d: str) -> DataFrame:
     h = with_surface(spark, d).select((F.col("dsm") - F.col("z") - 12).alias("h")).filter("h IS NOT NULL")
-    return h.agg(r6(F.avg((F.col("h") < -0.5).cast("int")), "negative_fraction"), r6(F.median("h"), "median_height"))
+    share = h.agg(r6(F.avg((F.col("h") < -0.5).cast("int")), "negative_fraction"))
+    return stats.beside(share, stats.quantiles(h, F.col("h"), {"median_height": 0.5}).select(r6(F.col("median_height"), "median_height")))
 
 
 @query("til_02_tiles", "WITH p AS (SELECT c_custkey, (c_custkey * 37 % 360) - 180 AS lon, (c_custkey * 17 % 160) - 80 AS lat FROM customer) SELECT c_custkey, least(greatest(trunc((lon + 180) / 360 * 32768)::INT, 0), 32767) AS tile_x, least(greatest(trunc((1 - asinh(tan(radians(lat))) / pi()) / 2 * 32768)::INT, 0), 32767) AS tile_y, round(40075016.68 / 32768 / 256 * cos(radians(lat)), 6) AS metres, 'https://t.example/std/15/' || tile_x || '/' || tile_y || '.png' AS url FROM p")
