@@ -68,3 +68,40 @@ def blend_weight(row: Column, col: Column, tile: int, taper: int, floor: float =
 def blended(scores: DataFrame, cell: list[str], group: str, p: str, weight: Column) -> DataFrame:
     """cell, group and the weighted mean of p over the tiles that overlap in a cell."""
     return scores.groupBy(*cell, group).agg((F.sum(F.col(p) * weight) / F.greatest(F.sum(weight), F.lit(1e-6))).alias(p))
+
+
+#: Words by which a segmentation model's labels are told to belong to a class.
+LABEL_GROUPS = {
+    "building": ["building", "edifice", "house", "skyscraper", "hovel", "hut", "shack", "tower", "booth", "kiosk", "tent", "shelter"],
+    "road": ["road", "route", "path", "sidewalk", "pavement", "runway", "bridge", "viaduct", "crosswalk", "street"],
+    "vegetation": ["forest", "agriculture", "agricultural", "farmland", "woodland", "tree", "grass", "plant", "flora", "flower", "field", "palm", "bush", "hedge", "shrub"],
+    "bare_soil": ["barren", "bare", "bare land", "barren land", "earth", "ground", "sand", "dirt track", "land", "soil", "hill", "mountain", "mount", "rock", "stone", "gravel"],
+    "water": ["water", "sea", "river", "lake", "pool", "swimming pool", "waterfall", "falls", "pond"],
+}
+
+
+def normalise_label(label: Column) -> Column:
+    """The words of a compound label: cut at `;`, `,` and `/`, trimmed, lower case, blanks left out."""
+    return F.array_distinct(F.filter(F.transform(F.split(label, "[;,/]"), lambda x: F.lower(F.trim(x))), lambda x: x != ""))
+
+
+def class_mapping(labels: DataFrame, classes: list[str], groups: dict[str, list[str]] | None = None) -> DataFrame:
+    """labels(source_id, label) with the class_id of the first project class, by number, that one of the label's words
+    belongs to; 0 if none does."""
+    known = [(w.lower(), classes.index(name)) for name, words in (groups or LABEL_GROUPS).items() if name in classes for w in words]
+    to = F.create_map(*[F.lit(v) for pair in known for v in pair]) if known else F.create_map().cast("map<string,int>")
+    hits = F.filter(F.transform(normalise_label(F.col("label")), lambda w: F.try_element_at(to, w)), lambda v: v.isNotNull())
+    return labels.withColumn("class_id", F.coalesce(F.array_min(hits), F.lit(0)))
+
+
+def mapping_summary(mapped: DataFrame, classes: list[str]) -> DataFrame:
+    """class_id, class_name and the labels mapped to each project class, none too."""
+    dim = mapped.sparkSession.range(len(classes)).select(F.col("id").cast("int").alias("class_id"), F.element_at(F.array(*map(F.lit, classes)), (F.col("id") + 1).cast("int")).alias("class_name"))
+    got = mapped.groupBy("class_id").agg(F.sort_array(F.collect_list("label")).alias("labels"))
+    return dim.join(got, "class_id", "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<string>")))
+
+
+def sample_batches(points: DataFrame, tile: list[str], order: str = "draw", features: str = "features") -> DataFrame:
+    """The feature rows of each tile in the order of their draw, as one array; a tile has a fixed number of them."""
+    rows = F.sort_array(F.collect_list(F.struct(order, features)))
+    return points.groupBy(*tile).agg(F.transform(rows, lambda r: r[features]).alias("batch"))
