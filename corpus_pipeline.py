@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
 documents. run() writes each stage's result as Parquet in the shared folder and reads it again for the next.
+
+Defined cases: language_id drops null texts and texts without letters, so later stages see neither from it; on
+their own, near_duplicates keeps rows without words, mixing counts them as 0 tokens, and bpe gives them no ids. A
+null doc_id is a document like others. Of rows with one doc_id and one text the first by their other columns stays;
+with different texts each goes or stays for its own text, and mixing takes them together or not at all. Very long
+texts are taken whole by every stage. An empty table, or one without a labelled text, gives no rows. Further columns
+pass through all stages but the last.
 """
 
 from __future__ import annotations
