@@ -6,8 +6,9 @@ applied to all its positions at once, and the pairs that its merges make are add
 their own ranks. Words seen before by the same worker are looked up (a bounded cache).
 
 Defined cases: a null text counts as empty; an empty text has no tokens; lone special-token strings in a
-text become their special id, as the tokenizers library does; repeated rows each give a row; other
-columns pass through `encode` and `decode` untouched and must not be named as the added ones.
+text become their special id, as the tokenizers library does; repeated rows each give a row; an empty table
+gives no rows; very long texts are taken whole, one at a time, and its list of words is what they cost; other
+columns pass through `encode` and `decode` untouched, which refuse columns named as the added ones.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import chunks, small_batches
 
 #: Fixed value: the word pattern of the byte-level pre-tokenizer. White space is Unicode's property, which leaves U+001C to U+001F out.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -181,6 +182,9 @@ def encoder(path: str) -> Encoder:
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """df with the column `ids` array<int> added."""
+    if ids in df.columns:
+        raise ValueError(f"there is a column {ids} already")
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
@@ -193,6 +197,9 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """df with the column `decoded` string added; null ids give null."""
+    if decoded in df.columns:
+        raise ValueError(f"there is a column {decoded} already")
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
