@@ -2,7 +2,7 @@
 
 import re
 from collections import Counter, defaultdict
-from hashlib import sha256
+from hashlib import md5, sha256
 
 import numpy as np
 import pandas as pd
@@ -404,6 +404,158 @@ def test_warc_records_round_trip(spark):
 # the pipeline
 
 
+def plain_mixture(model, text):
+    """Language, share and whether it fits, by EM over segments written out one document at a time."""
+    bucket, _, n_letters = langid.grams([text])
+    if not len(bucket) or not n_letters[0]:
+        return "und", 0.0
+    segments = [bucket[i : i + langid.GRAMS] for i in range(0, len(bucket), langid.GRAMS)]
+    ll = np.array([[sum(float(model.log_p[b, k]) for b in s) for k in range(len(model.languages))] for s in segments])
+
+    def fit(chosen):
+        pi = {k: 1 / len(chosen) for k in chosen}
+        like = [{k: np.exp(row[k] - row.max()) for k in chosen} for row in ll]
+        for _ in range(langid.ROUNDS):
+            sums = dict.fromkeys(chosen, 0.0)
+            for p in like:
+                total = max(sum(p[k] * pi[k] for k in chosen), 1e-300)
+                for k in chosen:
+                    sums[k] += p[k] * pi[k] / total
+            pi = {k: v / len(segments) for k, v in sums.items()}
+        return pi, sum(np.log(max(sum(p[k] * pi[k] for k in chosen), 1e-300)) + row.max() for p, row in zip(like, ll, strict=True))
+
+    best = int(ll.sum(0).argmax())
+    full, _ = fit(range(len(model.languages)))
+    order = sorted(range(len(model.languages)), key=lambda k: (k != best, -full[k], k))
+    pi, score = {best: 1.0}, ll[:, best].sum()
+    for m in range(2, len(order) + 1):
+        got, value = fit(order[:m])
+        if value - langid.PENALTY * np.log1p(len(segments)) <= score:
+            break
+        pi, score = got, value - langid.PENALTY * np.log1p(len(segments))
+    top = min(pi, key=lambda k: (-pi[k], k))
+    return model.languages[top], pi[top]
+
+
+def test_language_mixtures_match_plain_em(spark):
+    docs = table(spark, DATA, "documents").filter("text IS NOT NULL")
+    model = langid.train(docs)
+    some = [r.text for r in docs.filter("length(text) < 3000").orderBy("doc_id").limit(40).collect()]
+    mixed = [a + " " + b for a, b in zip(some, some[7:], strict=False)]
+    texts = [*some, *mixed, "", "123 456", None, "x"]
+    pred, score, shares = model.predict(texts)
+    want = [plain_mixture(model, t or "") for t in texts]
+    assert pred == [w for w, _ in want] and np.allclose(score, [v for _, v in want], atol=1e-4)
+    assert (shares > 0.05).sum(1).max() > 1  # some are mixtures
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    docs = table(spark, DATA, "documents").filter("text IS NOT NULL")
+    model = langid.train(docs)
+    text = " ".join(r.text for r in docs.filter("lang = 'en'").orderBy("doc_id").limit(20).collect())
+    whole = model.predict([text, "abc"])
+    monkeypatch.setattr(langid, "PIECE", 700)
+    parts = list(langid.pieces([text, None, "abc"]))
+    assert "".join(p for owner, ps in parts for o, p in zip(owner, ps, strict=True) if o == 0) == text
+    cut = model.predict([text, "abc"])
+    assert cut[0] == whole[0] and abs(cut[1][0] - whole[1][0]) < 0.05 and cut[1][1] == whole[1][1]
+
+
+def test_language_odd_rows(spark):
+    d = spark.createDataFrame([(1, "a b c", "en", 0.5), (None, "d e f", "de", 0.5), (3, None, None, 0.5)], "doc_id long, text string, lang string, score double")
+    got = langid.predict_all(d).collect()
+    assert len(got) == 3 and all(r.held_out is not None for r in got)
+    with pytest.raises(ValueError, match="score"):
+        langid.identify(d, langid.train(d))
+    assert langid.predict_all(d.limit(0)).count() == 0 and langid.keep_identified(d.limit(0), 0.3).count() == 0
+    with pytest.raises(ValueError, match="already"):
+        bpe.encode(d, BPE, ids="score")
+
+
+def test_sources_of_long_numbers_and_weights_of_zero(spark):
+    d = spark.createDataFrame([(1, "a b", "en", "src1234567892"), (2, "a b", "en", "s7x9"), (3, "a b c", "de", "s3"), (4, "a", None, None)], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id: r.domain for r in mixing.mixture(d).collect()} == {1: "d0", 2: "d3", 3: "d3", 4: "none"}
+    got = {r.doc_id: (r.leaf_budget, r.copies) for r in mixing.mixture(d, mixing.Mixture(lang={"de": 0}, percent=100, epochs=1)).collect()}
+    assert got[3] == (0, 0) and got[1] == (2, 1) and sum(b for b, _ in got.values()) == 5
+    kept = mixing.select(d.withColumn("copies", F.lit(1)), mixing.Mixture(lang={"de": 0}, percent=100, epochs=1))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4] and kept.columns == [*d.columns, "copies"]
+
+
+def plain_select(docs, mix):
+    """Ids that hierarchical budgeting uses at least once, by filling children one at a time."""
+    tokens = lambda r: len([w for w in re.split(r"[\x20\x09-\x0D]+", r.text or "") if w])
+    leaf_of = lambda r: (("d" + str(int(m[0]) % 4)) if (m := re.search(r"\d+", r.source or "none")) else "none", r.lang or "none", r.source or "none")
+    total = defaultdict(int)
+    for r in docs:
+        total[leaf_of(r)] += tokens(r)
+    weight = lambda level, name: getattr(mix, level).get(name, mix.other)
+    budget = {(): sum(total.values()) * mix.percent // 100}
+    for n, level in enumerate(mixing.LEVELS):
+        supply = defaultdict(int)
+        for k, v in total.items():
+            supply[k[: n + 1]] += v * mix.epochs
+        nxt = {}
+        for parent, money in budget.items():
+            open_ = {k for k in supply if k[:n] == parent}
+            while True:
+                rest, weights = money - sum(nxt.get(k, 0) for k in supply if k[:n] == parent), sum(weight(level, k[n]) for k in open_)
+                full = {k for k in open_ if supply[k] * weights <= rest * weight(level, k[n])}
+                if not full:
+                    break
+                nxt |= {k: supply[k] for k in full}
+                open_ -= full
+            nxt |= {k: rest * weight(level, k[n]) // weights for k in open_}
+        budget = nxt
+    out = set()
+    for leaf, money in budget.items():
+        mine = [r for r in docs if leaf_of(r) == leaf]
+        whole, rest = divmod(money, total[leaf]) if total[leaf] else (0, 0)
+        so_far, ordered = 0, defaultdict(list)
+        for r in mine:
+            ordered[md5(f"{mix.seed}:{whole}:{'null' if r.doc_id is None else r.doc_id}".encode()).hexdigest()].append(r)
+        for k in sorted(ordered):
+            so_far += sum(map(tokens, ordered[k]))
+            if whole or so_far <= rest:
+                out |= {r.doc_id for r in ordered[k]}
+    return out
+
+
+def test_pipeline_matches_brute_force(spark, library):
+    import corpus_pipeline as cp
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents").filter("length(text) < 4000")
+    extra = [(10**9, "привет мир это русский текст для проверки " * 5, None, "src1", 0), (10**9 + 1, None, None, None, 0), (10**9 + 2, "99 88 77", None, "src2", 0)]
+    docs = Workspace(spark).keep(docs.union(spark.createDataFrame(extra, docs.schema)))
+    model = langid.train(docs)
+    one = Workspace(spark).keep(cp.STAGES[0][1](spark, docs, DATA))
+    rows_ = docs.collect()
+    fits = model.judge([r.text for r in rows_])[3]
+    told = {r.doc_id: (*plain_mixture(model, r.text or ""), f, r.lang) for r, f in zip(rows_, fits.tolist(), strict=True)}
+    want = {i: known or lang for i, (lang, share, f, known) in told.items() if lang != "und" and share >= cp.LEAST_SHARE and f}
+    assert {r.doc_id: r.lang for r in one.collect()} == want and not {10**9, 10**9 + 1, 10**9 + 2} & set(want)
+    two = Workspace(spark).keep(cp.STAGES[1][1](spark, one, DATA))
+    comp = brute_join((r.doc_id, r.text) for r in one.collect())
+    assert sorted(r.doc_id for r in two.collect()) == sorted(i for i, (_, c) in comp.items() if c == i)
+    three = Workspace(spark).keep(cp.STAGES[2][1](spark, two, DATA))
+    assert {r.doc_id for r in three.collect()} == plain_select(two.collect(), cp.MIXTURE)
+    last = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in cp.STAGES[3][1](spark, three, DATA).collect()}
+    for r in three.collect():
+        ids = library.encode(r.text, add_special_tokens=False).ids
+        assert last[r.doc_id] == (len(ids), sha256(",".join(map(str, ids)).encode()).hexdigest(), sha256(r.text.encode()).hexdigest())
+    assert one.columns == two.columns == three.columns == docs.columns
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    import corpus_pipeline as cp
+
+    docs = odd.select(F.col("doc_id"), F.col("text"), F.lit("en").alias("lang"), F.lit("src1").alias("source"), F.lit(1).cast("long").alias("n_chars"), F.lit(7).alias("component_id"))
+    for d in (docs, docs.limit(0)):
+        for _, stage in cp.STAGES[:-1]:
+            out = stage(spark, d, DATA)
+            assert out.columns == d.columns and out.count() <= d.count()
+        assert cp.STAGES[-1][1](spark, d, DATA).count() == d.count()
+
+
 def test_pipeline_stages_chain(spark):
     import corpus_pipeline
 
