@@ -34,7 +34,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 NEAR = "\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf"
 NEAR_LETTER, NEAR_NUMBER, NEAR_SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 NEAR_WORDS = rf" ?[{NEAR_LETTER}]+| ?[{NEAR_NUMBER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{NEAR_SPACE}{NEAR_LETTER}{NEAR_NUMBER}]+|[{NEAR_SPACE}]+(?![^{NEAR_SPACE}])|[{NEAR_SPACE}]+"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 BLOCK = 2 << 20
 
 
@@ -68,6 +68,8 @@ class Encoder:
         self.all_words, self.near_words, self.far = regex.compile(WORDS), re.compile(NEAR_WORDS), re.compile(f"[^{NEAR}]")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.said: dict[str, str] = {}  # a word's ids in decimal, and the bytes that they decode to
+        self.back: dict[str, bytes] = {}
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair; -1 where no merge has it."""
@@ -147,6 +149,19 @@ class Encoder:
             new = list(pieces)
         self.cache.update(zip(new, self.merge([w.encode("utf-8", "surrogatepass") for w in new]), strict=True))
 
+    def tell(self, pieces: set[str]) -> None:
+        """What learn() does, for the decimal ids and decoded bytes of words; both are worked out once a word."""
+        new = [w for w in pieces if w not in self.said]
+        if len(self.said) + len(new) > CACHED_WORDS:
+            self.said.clear()
+            self.back.clear()
+            new = list(pieces)
+        for w, ids in zip(new, self.merge([w.encode("utf-8", "surrogatepass") for w in new]), strict=True):
+            self.said[w] = ",".join(map(str, ids))
+            self.back[w] = b"".join(map(self.bytes_of.__getitem__, ids))
+        for s, i in self.special.items():
+            self.said[s], self.back[s] = str(i), self.bytes_of[i]
+
     def words(self, text: str) -> list[str]:
         return (self.near_words if text.isascii() or not self.far.search(text) else self.all_words).findall(text)
 
@@ -212,19 +227,17 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 
 def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, ids_sha256 and decoded_sha256 of each row: encode and decode fused in one pass,
-    so that neither ids nor texts leave the Python worker. A word's ids are decoded once a block."""
+    so that neither ids nor texts leave the Python worker. A word's ids are decoded once a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for t in chunks(batches, text, BLOCK):
-            words = e.encode_batch(t.column(text).to_pylist())
-            seen = set(chain.from_iterable(words))
-            size = {w: len(e.cache[w]) for w in seen}
-            says = {w: ",".join(map(str, e.cache[w])) for w in seen}
-            back = {w: b"".join(map(e.bytes_of.__getitem__, e.cache[w])) for w in seen}
-            n = [sum(map(size.__getitem__, w)) for w in words]
-            of_ids = [sha256(",".join(map(says.__getitem__, w)).encode()).hexdigest() for w in words]
-            of_text = [sha256(b"".join(map(back.__getitem__, w)).decode("utf-8", "replace").encode()).hexdigest() for w in words]
+            words = [e.split(x) if x else [] for x in t.column(text).to_pylist()]
+            e.tell(set(chain.from_iterable(words)))
+            ids = [",".join(map(e.said.__getitem__, w)) for w in words]
+            n = [x.count(",") + 1 if x else 0 for x in ids]
+            of_ids = [sha256(x.encode()).hexdigest() for x in ids]
+            of_text = [sha256(b"".join(map(e.back.__getitem__, w)).decode("utf-8", "replace").encode()).hexdigest() for w in words]
             yield pa.RecordBatch.from_arrays([t.column(key).combine_chunks(), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return df.select(key, text).mapInArrow(run, T.StructType([df.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]))
