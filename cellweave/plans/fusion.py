@@ -25,7 +25,8 @@ COLUMNS = {
 @dataclass
 class Scene:
     """What is known of an area. Rasters on the elevation's grid are merged by cell, others are looked up by the cell's
-    centre. Masks are relations (row, col) of the cells that are set; building_heights has row, col and height."""
+    centre. Masks are relations (row, col) of the cells that are set, or boolean values of a raster; building_heights
+    has row, col and height."""
 
     elevation: Raster
     rasters: dict[str, Raster] = field(default_factory=dict)
@@ -78,7 +79,7 @@ def frame(scene: Scene, value: str = "z") -> DataFrame:
     x = F.lit(grid.min_x) + (F.col("col") + 0.5) * grid.resolution
     y = F.lit(grid.max_y) - (F.col("row") + 0.5) * grid.resolution
     t = t.withColumns(made | {"x": x, "y": y, "elevation": F.col("z")})
-    plan = rules.plan("object_height" in have, bool(scene.masks))
+    plan = rules.plan("object_height" in have, bool(have & {"in_building", "on_road", "in_water"}))
     t = t.withColumn("_f", rules.fused(plan)).select("*", "_f.*")
     return t.select("row", "col", *[F.col(c).cast(kind).alias(c) for c, kind in COLUMNS.items()], "count_key")
 

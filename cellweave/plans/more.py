@@ -149,13 +149,11 @@ def scene(spark: SparkSession, d: str) -> fusion.Scene:
     g = terrain.relief(terrain.gradients(t.select("row", "col", "z"), 5.0))
     dx, dy = F.col("dz_dx"), F.col("dz_dy")
     relief = g.select("row", "col", terrain.slope_deg(dx, dy).alias("slope"), terrain.aspect_deg(dx, dy).alias("aspect"), "relief")
-    e = evidence(spark, d)
-    seen = e.select("row", "col", "image_class", "image_confidence", "object_height")
+    seen = evidence(spark, d).drop("z")
     boxes = read(spark, d, "part").select(*[F.expr(x) for x in ("p_partkey % 50 - 0.4D AS min_x", "p_partkey % 50 + 1.7D AS max_x", "p_size - 0.4D AS min_y", "p_size + 1.7D AS max_y", "p_retailprice AS height", "p_partkey AS seq")])
     heights = sampling.rasterize_boxes(t, boxes, 8, F.col("col") + 0.5, F.col("row") + 0.5)
-    masks = {n: e.filter(n).select("row", "col") for n in ("in_building", "on_road", "in_water")}
     known = {"colours": Raster(colours, grid), "slope": Raster(relief, grid), "object_height": Raster(seen, grid)}
-    return fusion.Scene(dem, known, masks, heights)
+    return fusion.Scene(dem, known, building_heights=heights)
 
 
 @query("prj_02_fusion_frame", FRAME)
