@@ -11,7 +11,8 @@ Everything is DataFrame code. Only the templates (a constant) are broadcast, and
 (bounded by the templates) come to the driver.
 
 Defined cases: a null text counts as empty (no words, null first and last word, empty labels, score 0);
-blocks have a fixed number of words, so a very long text gives many blocks; repeated rows are judged each
+blocks have a fixed number of words, so a very long text gives many blocks; the longest template sets it where it has more
+words than a stride, so whole licence texts can be templates; ties don't arise, as labels are sets and the score is a maximum; repeated rows are judged each
 by itself; other columns stay out of the result; an empty table gives no rows.
 """
 
@@ -29,7 +30,7 @@ from .common import ascii_lower
 
 #: Fixed value: what stands between words once A-Z are lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A block is two strides long, so that anything of up to a stride stands whole in some block.
+#: A block is two strides long, so that anything of up to a stride stands whole in some block. Longer templates widen it.
 STRIDE = 64
 
 
@@ -78,8 +79,7 @@ def frequencies(docs: DataFrame, vocabulary: Sequence[str], text: str = "text")
 
 def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, key: str = "doc_id", text: str = "text", stride: int = STRIDE) -> DataFrame:
     """key, n_words, n_base, first_word, last_word, base_labels, labels and score of each row."""
-    if max(len(t.words) for t in templates) > stride:
-        raise ValueError("a template must not be longer than the stride of blocks")
+    stride = max([stride, *(len(t.words) for t in templates)])
     vocabulary = sorted({w for t in templates for w in t.words})
     often = frequencies(docs, vocabulary, text)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (often[w], w)))}

@@ -3,11 +3,12 @@
 Each of TABLES tables quantises PROJECTIONS random projections of the normalised vector; vectors with
 the same label and the same quantised values share a bucket. Equal vectors of a label are one class from
 the start. All pairs of classes in a bucket are checked by cosine in double precision; a pair counts in
-the first table where it meets, which each row's codes tell, so links are counted without listing them:
-a task returns sums per vector and a spanning forest of the links it found. A bucket of more than SPLIT
+the first table where it meets, which the codes of both tell (worked out anew, for linked vectors only), so links are
+counted without listing them: a task returns sums per vector and a spanning forest of the links it found. A bucket of more than SPLIT
 classes is laid out as pairs of parts, each pair a group of its own.
 
-A pair of cosine 0.93 shares a bucket of some table with probability 0.9987, one of 0.94 with 0.9996.
+A pair of cosine 0.93 shares a bucket of some table with probability 0.9987, one of 0.94 with 0.9997. Of the values of
+PROJECTIONS and WIDTH that give this, those stated bring the fewest unlike vectors of 64 dimensions together.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite components links with
 nothing, nor does one without a label; vectors of other lengths than their label's others only meet
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Workspace
 from .components import components, roots
 
-TABLES, PROJECTIONS, WIDTH, SEED = 40, 6, 1.1, 7
+TABLES, PROJECTIONS, WIDTH, SEED = 40, 12, 2.1, 7
 SPLIT = 2048
 PAIRS_AT_ONCE = 1 << 17
 
@@ -58,11 +59,11 @@ def codes(x: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> 31)) & 0x7FFFFFFF).astype(np.int32)
 
 
-POSTED = pa.schema([("t", pa.int32()), ("label", pa.int64()), ("code", pa.int32()), ("cid", pa.int64()), ("n", pa.int64()), ("vector", pa.binary()), ("codes", pa.binary())])
+POSTED = pa.schema([("t", pa.int32()), ("label", pa.int64()), ("code", pa.int32()), ("cid", pa.int64()), ("n", pa.int64()), ("vector", pa.binary())])
 
 
 def postings(classes: DataFrame, kind: type) -> DataFrame:
-    """classes(cid, label, n, embedding) to rows (bucket parts t, label, code; cid, n, vector as given, codes)."""
+    """classes(cid, label, n, embedding) to rows (bucket parts t, label, code; cid, n, vector as given)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -73,10 +74,10 @@ def postings(classes: DataFrame, kind: type) -> DataFrame:
                 c = codes(units([raw[i] for i in at], kind))
                 each = {"cid": cid, "label": label, "n": n, "vector": raw}
                 out = {k: [v[i] for i in at for _ in range(TABLES)] for k, v in each.items()}
-                out |= {"t": list(range(TABLES)) * len(at), "code": c.ravel(), "codes": [x.tobytes() for x in c for _ in range(TABLES)]}
+                out |= {"t": list(range(TABLES)) * len(at), "code": c.ravel()}
                 yield pa.RecordBatch.from_pydict(out, schema=POSTED)
 
-    return classes.select("cid", "label", "n", "embedding").mapInArrow(run, "t int, label long, code int, cid long, n long, vector binary, codes binary")
+    return classes.select("cid", "label", "n", "embedding").mapInArrow(run, "t int, label long, code int, cid long, n long, vector binary")
 
 
 def pairs_of(first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -92,28 +93,36 @@ def pairs_of(first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray,
         at = to
 
 
+def codes_of(x: np.ndarray | list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """The codes of some rows of what units() gave."""
+    if isinstance(x, np.ndarray):
+        return codes(x[rows])
+    return np.concatenate([codes(x[r][None]) for r in rows.tolist()])
+
+
 def links(cells: DataFrame, least: float, kind: type) -> DataFrame:
-    """cells(cell, part, whole, t, cid, n, vector, codes), a cell's rows together: rows (a, b, n).
+    """cells(cell, part, whole, t, label, cid, n, vector), a cell's rows together: rows (a, b, n).
 
-    With b = null: n more vectors are linked with a. Else: a and b are connected."""
+    With b = null: n more vectors are linked with a. Else: a and b are connected. A cell's number is a hash; where two
+    cells have the same, only vectors of one label and one bucket count as a pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         last = None
 
         def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            cell = np.array(t.column("cell").to_pylist(), dtype=object)
+            cell = t.column("cell").to_numpy()
             cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
             size = np.diff(np.r_[cut, len(cell)])
             cut, size = cut[size > 1], size[size > 1]
             if not len(cut):
                 return
-            part, whole, table, cid, n = (t.column(k).to_numpy() for k in ("part", "whole", "t", "cid", "n"))
+            part, whole, table, label, cid, n = (t.column(k).to_numpy() for k in ("part", "whole", "t", "label", "cid", "n"))
             x = units(t.column("vector").to_pylist(), kind)
-            code = np.frombuffer(b"".join(t.column("codes").to_pylist()), np.int32).reshape(-1, TABLES)
+            code, known = np.zeros((len(cid), TABLES), np.int32), np.zeros(len(cid), bool)
             linked, found = np.zeros(len(cid), np.int64), []
             for i, j in pairs_of(cut, size):
-                ok = (part[i] != part[j]) | whole[i]  # inside a part, pairs count in one cell only
+                ok = ((part[i] != part[j]) | whole[i]) & (label[i] == label[j]) & (table[i] == table[j])  # inside a part, pairs count in one cell only
                 i, j = i[ok], j[ok]
                 if isinstance(x, np.ndarray):
                     cos = np.einsum("ij,ij->i", x[i], x[j])
@@ -121,7 +130,13 @@ def links(cells: DataFrame, least: float, kind: type) -> DataFrame:
                     cos = np.array([x[u] @ x[v] if len(x[u]) == len(x[v]) else -2.0 for u, v in zip(i.tolist(), j.tolist(), strict=True)])
                 ok = cos >= least
                 i, j = i[ok], j[ok]
+                if not len(i):
+                    continue
                 found.append((i, j))
+                new = np.unique(np.r_[i, j])
+                new = new[~known[new]]
+                if len(new):
+                    code[new], known[new] = codes_of(x, new), True
                 same = code[i] == code[j]
                 ok = same.argmax(1) == table[i]  # the first table in which the two meet
                 np.add.at(linked, i[ok], n[j[ok]])
@@ -141,8 +156,8 @@ def links(cells: DataFrame, least: float, kind: type) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            cell = b.column(0).to_pylist()
-            first = next((k for k, c in enumerate(cell) if c != last), len(cell)) if held else 0
+            cell = b.column(0).to_numpy()
+            first = next(iter(np.flatnonzero(cell != last).tolist()), len(cell)) if held else 0
             if held:
                 held.append(b.slice(0, first))
                 if first == len(cell):
@@ -150,7 +165,7 @@ def links(cells: DataFrame, least: float, kind: type) -> DataFrame:
                 yield from work(pa.Table.from_batches(held))
                 held = []
             # whole cells now; the last one may go on in the next batch
-            tail = next(k for k in range(len(cell) - 1, -1, -1) if k == 0 or cell[k - 1] != cell[-1])
+            tail = next(iter(np.flatnonzero(cell != cell[-1])[::-1].tolist()), -1) + 1
             if tail > first:
                 yield from work(pa.Table.from_batches([b.slice(first, tail - first)]))
             held, last = [b.slice(max(tail, first))], cell[-1]
@@ -178,8 +193,8 @@ def near_duplicates(rows: DataFrame, least: float = 0.93, split: int = SPLIT) ->
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), F.col("parts"))).otherwise(0).cast("int")
     post = post.withColumn("part", part).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     low, high = F.least("part", "other"), F.greatest("part", "other")
-    cell = F.concat_ws("/", "t", "label", "code", low, high)
-    cells = post.select(cell.alias("cell"), "part", (low == high).alias("whole"), "t", "cid", "n", "vector", "codes")
+    cell = F.xxhash64("t", "label", "code", low, high)
+    cells = post.select(cell.alias("cell"), "part", (low == high).alias("whole"), "t", "label", "cid", "n", "vector")
     cells = cells.repartition("cell").sortWithinPartitions("cell")
     found = work.keep(links(cells, least, kind))
     work.drop(posted)
