@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +40,16 @@ def usable(v: str = "embedding"):
     return F.coalesce((F.size(v) > 0) & fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def units(raw: list[bytes], kind: type) -> list[np.ndarray] | np.ndarray:
-    """Unit vectors in double precision; one matrix if all have the same length."""
-    if len({len(r) for r in raw}) == 1:
-        x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+def units(raw: pa.Array, kind: type) -> list[np.ndarray] | np.ndarray:
+    """Unit vectors in double precision of binary values; one matrix if all have the same length."""
+    size = pc.binary_length(raw).to_numpy()
+    if (size == size[0]).all():
+        flat = np.frombuffer(raw.buffers()[2], kind)
+        first = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset] // flat.itemsize
+        x = flat[first : first + int(size.sum()) // flat.itemsize].reshape(len(raw), -1).astype(np.float64)
         x /= np.abs(x).max(1, keepdims=True)
         return x / np.linalg.norm(x, axis=1, keepdims=True)
-    return [units([r], kind)[0] for r in raw]
+    return [units(pa.array([r], pa.binary()), kind)[0] for r in raw.to_pylist()]
 
 
 def codes(x: np.ndarray) -> np.ndarray:
@@ -67,14 +71,14 @@ def postings(classes: DataFrame, kind: type) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = [np.asarray(x, kind).tobytes() for x in b.column(3).to_pylist()]
-            cid, label, n = (b.column(k).to_pylist() for k in range(3))
-            for size in {len(r) for r in raw}:
-                at = [i for i, r in enumerate(raw) if len(r) == size]
-                c = codes(units([raw[i] for i in at], kind))
-                each = {"cid": cid, "label": label, "n": n, "vector": raw}
-                out = {k: [v[i] for i in at for _ in range(TABLES)] for k, v in each.items()}
-                out |= {"t": list(range(TABLES)) * len(at), "code": c.ravel()}
+            raw = pa.array([x.values.to_numpy().tobytes() for x in b.column(3)], pa.binary())
+            sizes = pc.binary_length(raw).to_numpy()
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                c = codes(units(raw.take(pa.array(at)), kind))
+                each = pa.array(np.repeat(at, TABLES))
+                out = {"t": np.tile(np.arange(TABLES, dtype=np.int32), len(at)), "code": c.ravel(), "vector": raw.take(each)}
+                out |= {name: b.column(name).take(each) for name in ("cid", "label", "n")}
                 yield pa.RecordBatch.from_pydict(out, schema=POSTED)
 
     return classes.select("cid", "label", "n", "embedding").mapInArrow(run, "t int, label long, code int, cid long, n long, vector binary")
@@ -82,8 +86,9 @@ def postings(classes: DataFrame, kind: type) -> DataFrame:
 
 def pairs_of(first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All i < j inside each run (first, size), PAIRS_AT_ONCE or one row's partners at a time."""
-    left = np.concatenate([np.arange(f, f + s - 1) for f, s in zip(first.tolist(), size.tolist(), strict=True)])
-    much = np.concatenate([np.arange(s - 1, 0, -1) for s in size.tolist()])
+    run = np.repeat(np.arange(len(first)), size - 1)
+    place = np.arange(len(run)) - (np.cumsum(size - 1) - (size - 1))[run]
+    left, much = first[run] + place, size[run] - 1 - place
     upto, at = np.cumsum(much), 0
     while at < len(left):
         to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
@@ -118,7 +123,7 @@ def links(cells: DataFrame, least: float, kind: type) -> DataFrame:
             if not len(cut):
                 return
             part, whole, table, label, cid, n = (t.column(k).to_numpy() for k in ("part", "whole", "t", "label", "cid", "n"))
-            x = units(t.column("vector").to_pylist(), kind)
+            x = units(t.column("vector").combine_chunks(), kind)
             code, known = np.zeros((len(cid), TABLES), np.int32), np.zeros(len(cid), bool)
             linked, found = np.zeros(len(cid), np.int64), []
             for i, j in pairs_of(cut, size):
