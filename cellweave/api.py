@@ -87,3 +87,22 @@ def write_layers(layers: Mapping[str, DataFrame], root: str) -> dict[str, str]:
         except Exception as e:  # a source may fail in any way; what it was is kept
             out[name] = f"failed: {str(e).splitlines()[0][:200]}"
     return out
+
+
+#: A report's sections in order, and what an empty one says.
+REPORT = {
+    "measured": "Measured (computed by the pipeline)",
+    "observed": "Observed (visual interpretation)",
+    "inferred": "Inferred (model reasoning)",
+    "uncertain": "Uncertain / limitations",
+    "recommended_checks": "Recommended checks",
+}
+NONE_REPORTED = "(none reported)"
+
+
+def report_markdown(title: str, parts: Mapping[str, Sequence[str]], summary: str = "", by: str = "") -> str:
+    """A report of the five sections; those that are not given say so."""
+    blocks = [f"# {title}", summary]
+    blocks += [f"## {head}\n" + "\n".join(f"- {item}" for item in parts.get(key) or [NONE_REPORTED]) for key, head in REPORT.items()]
+    blocks.append(f"_Written by {by}; figures come from the pipeline._" if by else "")
+    return "\n\n".join(b for b in blocks if b) + "\n"

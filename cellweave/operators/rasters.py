@@ -50,6 +50,22 @@ def sample(points: DataFrame, raster: Raster, value: str, key: str, crs: str, me
     return points.join(got, key, "left").withColumn(value, F.when(inside, F.col(value)))
 
 
+def point_window(points: DataFrame, grid: geo.Grid, pad: int = 1) -> DataFrame:
+    """One row row_min, row_max, col_min, col_max (the last ones left out) of the cells around the points inside the
+    grid; null where none is."""
+    row, col = grid.cell_of(F.col("x"), F.col("y"))
+    t = points.select(row.alias("row"), col.alias("col")).filter(F.col("row").between(0, grid.height - 1) & F.col("col").between(0, grid.width - 1))
+    ends = [f(F.min(c) - pad, F.lit(0)) if f is F.greatest else f(F.max(c) + pad + 1, F.lit(n)) for c, n in (("row", grid.height), ("col", grid.width)) for f in (F.greatest, F.least)]
+    some = F.count("*") > 0
+    return t.agg(*[F.when(some, e).cast("int").alias(n) for e, n in zip(ends, ("row_min", "row_max", "col_min", "col_max"), strict=True)])
+
+
+def in_window(cells: DataFrame, window: DataFrame) -> DataFrame:
+    """The cells of a window of one row, which is small whatever the cells are."""
+    near = cells["row"].between(F.col("row_min"), F.col("row_max") - 1) & cells["col"].between(F.col("col_min"), F.col("col_max") - 1)
+    return cells.join(F.broadcast(window), near, "left_semi")
+
+
 def as_colour(c: Column) -> Column:
     """0 to 255; 0 where unknown."""
     return F.least(F.greatest(F.rint(F.coalesce(finite(c.cast("double")), F.lit(0.0))), F.lit(0.0)), F.lit(255.0)).cast("short")

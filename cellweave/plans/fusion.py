@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import rules, stats
+from ..operators import rules, stats, terrain
 from ..operators.rasters import Raster, as_colour
 from ..operators.stats import finite
 from ..settings import NoDataError
@@ -130,6 +130,25 @@ def terrain_summary(cells: DataFrame, cell_size: float, mask: Column | None = No
     return stats.beside(*parts)
 
 
+def terrain_layers(cells: DataFrame, cell_size: float, z: str = "z", dsm: str | None = None, counts: DataFrame | None = None, tallest: float | None = None) -> DataFrame:
+    """The terrain stage: every cell with slope, aspect, hillshade and relief, with ndsm where there is a surface and
+    n_points where there are point counts(row, col, n_points). The stencils share the line and column windows."""
+    t = terrain.relief(terrain.gradients(cells, cell_size, z), z=z)
+    dx, dy = F.col("dz_dx"), F.col("dz_dy")
+    t = t.withColumns({"slope": terrain.slope_deg(dx, dy), "aspect": terrain.aspect_deg(dx, dy), "hillshade": terrain.hillshade(dx, dy)}).drop("dz_dx", "dz_dy")
+    if dsm is not None:
+        t = t.withColumn("ndsm", terrain.normalised(F.col(dsm), F.col(z), 0.0, tallest))
+    if counts is not None:
+        t = t.join(counts, ["row", "col"], "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)).cast("long"))
+    return t
+
+
+def negative_fraction(cells: DataFrame, z: str = "z", dsm: str = "dsm", below: float = -0.5) -> DataFrame:
+    """The share of cells known in both whose surface lies further below the ground than noise explains."""
+    h = finite(F.col(dsm)) - finite(F.col(z))
+    return cells.agg(F.coalesce(F.avg(F.when(h.isNotNull(), (h < below).cast("int"))), F.lit(0.0)).alias("negative_fraction"))
+
+
 def subregion(cells: DataFrame, grid: geo.Grid, box: geo.Box, geographic: bool = False) -> DataFrame:
     """terrain_summary of the whole cells that a box covers; a box beside the grid is an error."""
     if geographic:

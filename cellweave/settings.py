@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import argparse
 import hashlib
 import json
+import logging
 import os
+import platform
+import random
 import re
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -188,3 +192,30 @@ def read_json(path: str) -> Any:
             return json.load(f)
     except (OSError, ValueError):
         return None
+
+
+def arguments(argv: Sequence[str] | None = None) -> tuple[dict[str, Any], argparse.Namespace]:
+    """A command line's configuration, with what it overrides, and the other arguments."""
+    p = argparse.ArgumentParser(prog="cellweave")
+    p.add_argument("--config", required=True, help="JSON configuration")
+    p.add_argument("--set", action="append", default=[], metavar="KEY=VALUE", help="override a value, keys joined by dots")
+    p.add_argument("--log-level", default="INFO")
+    p.add_argument("--overwrite", action="store_true", help="make again what is already there")
+    p.add_argument("stages", nargs="*", help="stages to run; none means all")
+    given = p.parse_args(argv)
+    level = logging.getLevelName(given.log_level.upper())
+    if not isinstance(level, int):
+        raise ConfigurationError(f"unknown log level {given.log_level!r}")
+    logging.getLogger("cellweave").setLevel(level)
+    return load(given.config, given.set), given
+
+
+def seeded(seed: int) -> random.Random:
+    """Random numbers of a run's own, the same for the same seed."""
+    return random.Random(seed)
+
+
+def environment(spark: Any = None) -> dict[str, Any]:
+    """What a run's record says about where it ran."""
+    out = {"python": platform.python_version(), "system": platform.system(), "machine": platform.machine(), "cpus": os.cpu_count()}
+    return out if spark is None else out | {"spark": spark.version, "parallelism": spark.sparkContext.defaultParallelism}
