@@ -137,10 +137,18 @@ def tile_members(cells: DataFrame, height: int, width: int, tile: int, overlap:
     return t.withColumns({"row_in": F.col("row") - F.col("tile_row"), "col_in": F.col("col") - F.col("tile_col")})
 
 
+def once(value: Column, f) -> Column:
+    """f(value), with the value worked out once however often f uses it; inside lambdas nothing else shares it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def clip_ring(ring: Column, box: geo.Box) -> Column:
     """A closed ring of struct<x, y> cut to a box, side by side; closed again, or empty if nothing is left."""
 
     def cut(points: Column, inside, meet) -> Column:
+        return once(points, lambda p: cut_once(p, inside, meet))
+
+    def cut_once(points: Column, inside, meet) -> Column:
         edges = F.zip_with(points, F.concat(F.slice(points, 2, F.size(points)), F.slice(points, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         none = F.slice(points, 1, 0)
 
@@ -160,7 +168,7 @@ def clip_ring(ring: Column, box: geo.Box) -> Column:
 
         return meet
 
-    out = F.slice(ring, 1, F.size(ring) - 1)
+    out = once(ring, lambda r: F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))))
     for axis, v, over in (("x", box[0], True), ("y", box[1], True), ("x", box[2], False), ("y", box[3], False)):
         out = cut(out, (lambda p, axis=axis, v=v: p[axis] >= v) if over else (lambda p, axis=axis, v=v: p[axis] <= v), at(axis, v))
-    return F.when(F.size(out) >= 3, F.concat(out, F.slice(out, 1, 1))).otherwise(F.slice(out, 1, 0))
+    return once(out, lambda p: F.when(F.size(p) >= 3, F.concat(p, F.slice(p, 1, 1))).otherwise(F.slice(p, 1, 0)))

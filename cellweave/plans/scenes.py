@@ -85,9 +85,9 @@ SELECT p_partkey, round((w * h)::DOUBLE, 6) AS area FROM a WHERE w > 0 AND h > 0
 def join_09(spark: SparkSession, d: str) -> DataFrame:
     x, y = F.col("p_partkey") % 46, F.col("p_size")
     ring = F.array(node(x, y), node(x + 3, y), node(x + 3, y + 4), node(x, y + 4), node(x, y))
-    t = read(spark, d, "part").select("p_partkey", rasters.clip_ring(ring, CLIP).alias("ring"))
+    t = read(spark, d, "part").select("p_partkey", rasters.clip_ring(ring, CLIP).alias("ring")).filter(F.size("ring") > 0)
     turns = F.zip_with(F.col("ring"), F.slice("ring", 2, F.greatest(F.size("ring") - 1, F.lit(0))), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
-    area = F.abs(F.aggregate(turns, F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0)))) / 2
+    area = rasters.once(turns, lambda v: F.abs(F.aggregate(v, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))) / 2)
     return t.select("p_partkey", F.round(area, 6).alias("area")).filter("area > 0")
 
 

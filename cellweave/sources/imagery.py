@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators.rasters import Raster, clip_ring
+from ..operators.rasters import Raster, clip_ring, once
 from ..settings import ConfigurationError, UnsupportedError
 from .readers import TILE
 
@@ -62,7 +62,9 @@ def mosaic_counts(tiles: DataFrame, box: tuple[int, int, int, int], most: int) -
 
 def clip_line(line: Column, box: geo.Box) -> Column:
     """The parts of a line of struct<x, y> inside a box, segment by segment; empty if nothing is left."""
-    pairs = F.zip_with(F.slice(line, 1, F.greatest(F.size(line) - 1, F.lit(0))), F.slice(line, 2, F.greatest(F.size(line) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    def segments(nodes: Column) -> Column:
+        n = F.greatest(F.size(nodes) - 1, F.lit(0))
+        return F.zip_with(F.slice(nodes, 1, n), F.slice(nodes, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
     def cut(s: Column) -> Column:
         first, last, fits = [F.lit(0.0)], [F.lit(1.0)], F.lit(True)
@@ -76,7 +78,7 @@ def clip_line(line: Column, box: geo.Box) -> Column:
         at = lambda t: F.struct(*[(s["a"][c] + t * (s["b"][c] - s["a"][c])).alias(c) for c in "xy"])
         return F.when(fits & (t0 < t1), F.array(at(t0), at(t1)))
 
-    return F.filter(F.transform(pairs, cut), lambda p: p.isNotNull())
+    return F.filter(F.transform(once(line, segments), cut), lambda p: p.isNotNull())
 
 
 def layer(elements: DataFrame, crs: str, box: geo.Box) -> DataFrame:
