@@ -3,10 +3,14 @@
 Every trie node keeps a failure link and the number of pieces that are popped when it is followed, so a
 word's count is the sum of popped counts along one left-to-right pass; no piece is ever built. The
 vocabulary's pieces are byte strings; with all 256 single bytes among them every word can be matched.
-A word is what stands between white space, with one space before it.
+A word is what stands between white space, with one space before it. Vocabularies whose pieces differ
+inside a word (WordPiece's continuations) have a second root, at which every match after the first starts;
+their words have no space before them, and a word that pieces can't cover is one unknown piece.
 
 Defined cases: null and empty texts have 0 words and 0 pieces; a word with a byte that no piece covers
-counts as one unknown piece; repeated rows each give a row.
+counts as one unknown piece; repeated rows each give a row; ties don't arise, the longest piece is unique; very
+long texts are taken whole, in blocks of rows, and words longer than SIDE_BY_SIDE bytes one by one; an empty table
+gives no rows; other columns, whatever their names, stay out of the result.
 """
 
 from __future__ import annotations
@@ -38,15 +42,26 @@ def byte_level_pieces(path: str) -> list[bytes]:
     return [bytes(byte_of[c] for c in t) for t in spec["model"]["vocab"] if t not in special]
 
 
+def word_pieces(path: str) -> tuple[list[bytes], list[bytes]]:
+    """The pieces that start a word and those that go on in one, of a WordPiece tokenizer file without special tokens."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    mark = spec["model"].get("continuing_subword_prefix", "##")
+    special = {x["content"] for x in spec.get("added_tokens", [])} | {spec["model"].get("unk_token")}
+    vocab = [t for t in spec["model"]["vocab"] if t not in special]
+    inner = [t for t in vocab if mark and t.startswith(mark) and t != mark]
+    return [t.encode() for t in vocab if t not in set(inner)], [t[len(mark) :].encode() for t in inner]
+
+
 class Automaton:
-    """Node 0 is the root, -1 no node."""
+    """Node 0 is the root, -1 no node. With continuation pieces, node 1 is the root of those."""
 
-    def __init__(self, pieces: Iterable[bytes]):
-        pieces = sorted(set(pieces) - {b""})
+    def __init__(self, pieces: Iterable[bytes], following: Iterable[bytes] | None = None, lead: bytes = b" "):
+        self.roots, self.lead = 1 if following is None else 2, lead
+        again = self.roots - 1  # where the next piece of a word starts
         goto: dict[int, int] = {}
-        depth, parent, byte, last = [0], [-1], [0], [False]
-        for piece in pieces:
-            u = 0
+        depth, parent, byte, last = ([x] * self.roots for x in (0, -1, 0, False))
+        for u, piece in [(0, p) for p in sorted(set(pieces) - {b""})] + [(1, p) for p in sorted(set(following or ()) - {b""})]:
             for c in piece:
                 v = goto.get(u << 8 | c)
                 if v is None:
@@ -58,9 +73,9 @@ class Automaton:
                 u = v
             last[u] = True
         fail, pops = [-1] * len(depth), [0] * len(depth)
-        for v in sorted(range(1, len(depth)), key=depth.__getitem__):
+        for v in sorted(range(self.roots, len(depth)), key=depth.__getitem__):
             if last[v]:
-                fail[v], pops[v] = 0, 1
+                fail[v], pops[v] = again, 1
                 continue
             z, n = fail[parent[v]], pops[parent[v]]
             while z >= 0 and (z << 8 | byte[v]) not in goto:
@@ -88,7 +103,7 @@ class Automaton:
                 if (u := self.fails[u]) < 0:
                     return 1
             u = v
-        while u > 0:
+        while u >= self.roots:
             n += self.popped[u]
             if (u := self.fails[u]) < 0:
                 return 1
@@ -123,12 +138,12 @@ class Automaton:
                     gone = u[todo] < 0
                     lost[todo[gone]] = True
                     todo, c = todo[~gone], c[~gone]
-        todo = np.flatnonzero(~lost & (u > 0))
+        todo = np.flatnonzero(~lost & (u >= self.roots))
         while len(todo):
             n[todo] += self.pops[u[todo]]
             u[todo] = self.fail[u[todo]]
             lost[todo[u[todo] < 0]] = True
-            todo = todo[u[todo] > 0]
+            todo = todo[u[todo] >= self.roots]
         out[short] = np.where(lost, 1, n)
         return out
 
@@ -137,7 +152,7 @@ class Automaton:
         if len(self.cache) + len(new) > CACHED_WORDS:
             self.cache.clear()
             new = list(words)
-        self.cache.update(zip(new, self.counts([b" " + w.encode("utf-8", "surrogatepass") for w in new]).tolist(), strict=True))
+        self.cache.update(zip(new, self.counts([self.lead + w.encode("utf-8", "surrogatepass") for w in new]).tolist(), strict=True))
 
 
 _automata: dict[str, Automaton] = {}
@@ -145,7 +160,9 @@ _automata: dict[str, Automaton] = {}
 
 def automaton(path: str) -> Automaton:
     if path not in _automata:
-        _automata[path] = Automaton(byte_level_pieces(path))
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)["model"].get("type")
+        _automata[path] = Automaton(*word_pieces(path), lead=b"") if kind == "WordPiece" else Automaton(byte_level_pieces(path))
     return _automata[path]
 
 

@@ -12,7 +12,7 @@ from conftest import DATA, by_sql, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from cellweave.llm import bpe, jaccard, langid, licenses, mixing, permutation, queries, urlrules, vectors, warc, wordpiece
 from cellweave.llm.common import table
@@ -97,9 +97,40 @@ def test_piece_counts_match_greedy_search(spark, odd):
     assert small.counts([b"abcab", b"abx", b""]).tolist() == [2, 1, 0]
 
 
+def test_continuation_pieces_match_the_library(spark, odd, tmp_path):
+    texts = [r.text or "" for r in table(spark, DATA, "documents").limit(300).collect()]
+    often = Counter(w for t in texts for w in t.split())
+    heads = {w[:k] for w, _ in often.most_common(400) for k in (1, 2, 4, len(w))}
+    inner = {"##" + w[k : k + n] for w, _ in often.most_common(400) for k in (1, 2, 3) for n in (1, 2, 4)} - {"##"}
+    vocab = {t: i for i, t in enumerate(["[UNK]", *sorted(heads | inner)])}
+    model = Tokenizer(models.WordPiece(vocab, unk_token="[UNK]", max_input_chars_per_word=1 << 30))
+    model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = str(tmp_path / "words.json")
+    model.save(path)
+    a = wordpiece.Automaton(*wordpiece.word_pieces(path), lead=b"")
+    words = [*often, "a" * 500, "Zürich-Öße", "\u0416x"]
+    assert a.counts([w.encode() for w in words]).tolist() == [len(model.encode(w).ids) for w in words]
+    assert [a.count(w.encode()) for w in words] == [len(model.encode(w).ids) for w in words]
+    docs = table(spark, DATA, "documents").limit(300)
+    got = {r.doc_id: r.n_pieces for r in wordpiece.piece_counts(docs, path).collect()}
+    assert got == {r.doc_id: len(model.encode(r.text or "").ids) for r in docs.collect()} and len(set(got.values())) > 9
+    clash = odd.select("doc_id", "text", F.lit(1).alias("n_words"), F.lit(2).alias("n_pieces"))
+    assert wordpiece.piece_counts(clash, path).columns == ["doc_id", "n_words", "n_pieces"] and wordpiece.piece_counts(clash.limit(0), path).count() == 0
+
+
 # licences
 
 
+def test_templates_longer_than_a_stride(spark):
+    long = licenses.Template("whole", " ".join(f"term{i}" for i in range(150)), 0.9)
+    filler = " ".join(f"other{i}" for i in range(97))
+    held = filler + " " + " ".join(f"term{i}" for i in range(0, 140)) + " " + filler
+    rows = [(1, held, None, None), (2, held.replace("term7 ", "x ").replace("term139", "x").replace("term1 ", "x "), None, None), (3, "term1 " * 500, None, None), (4, filler, None, None)]
+    d = spark.createDataFrame([(*r,) for r in rows], SCHEMA)
+    got = {r.doc_id: (r.labels, round(r.score, 6)) for r in licenses.scan(d, [*licenses.TEMPLATES, long]).collect()}
+    assert got == {1: ("whole", round(140 / 150, 6)), 2: ("whole", round(137 / 150, 6)), 3: ("", 0.0), 4: ("", 0.0)}
+
+
 def brute_scan(text):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(text))
     base, labels, places, best = set(), set(), [], 0.0
