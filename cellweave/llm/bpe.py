@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import chunks, small_batches
+from .common import chunks, frugal, keeps, small_batches
 
 #: Fixed value: the word pattern of the byte-level pre-tokenizer. White space is Unicode's property, which leaves U+001C to U+001F out.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -192,6 +192,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        keeps("bpe", _encoders.clear)
     return _encoders[path]
 
 
@@ -207,7 +208,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             got = pa.array([e.ids(w) for w in e.encode_batch(t.column(text).to_pylist())], pa.list_(pa.int32()))
             yield from t.append_column(ids, got).to_batches()
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return df.mapInArrow(frugal("bpe", run), T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -222,7 +223,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
             got = [None if x is None else e.decode(x) for x in b.column(b.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())], names=[*b.schema.names, decoded])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.StringType())]))
+    return df.mapInArrow(frugal("bpe", run), T.StructType([*df.schema.fields, T.StructField(decoded, T.StringType())]))
 
 
 def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -240,4 +241,4 @@ def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
             of_text = [sha256(b"".join(map(e.back.__getitem__, w)).decode("utf-8", "replace").encode()).hexdigest() for w in words]
             yield pa.RecordBatch.from_arrays([t.column(key).combine_chunks(), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return df.select(key, text).mapInArrow(run, T.StructType([df.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]))
+    return df.select(key, text).mapInArrow(frugal("bpe", run), T.StructType([df.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -94,6 +95,45 @@ def admitted(values: DataFrame, name: str) -> Callable[[Column], Column]:
     return test
 
 
+#: What this Python worker keeps from one task to the next, by operator: how to let go of it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, forget: Callable[[], None]) -> None:
+    """Tells that this worker holds something for `owner`'s next task; it is let go when another operator's begins."""
+    _kept[owner] = forget
+
+
+def begin(owner: str) -> None:
+    for name in [n for n in _kept if n != owner]:
+        _kept.pop(name)()
+
+
+def give_back() -> None:
+    """Returns what is free in this process to the system; allocators keep it otherwise, for as long as a worker lives."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not the GNU library
+        pass
+
+
+def frugal(owner: str, run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, for mapInArrow, in workers that outlive their task: an executor holds all its workers' memory at once, and what
+    one operator's tasks leave there would stand beside the next one's."""
+
+    def task(batches: Iterator) -> Iterator:
+        begin(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, nothing else; the fast path is for texts that are all ASCII."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

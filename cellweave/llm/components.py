@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, frugal
 
 
 #: Edges that one task finishes by itself (16 bytes each); more are contracted by rounds until so few are left.
@@ -27,7 +27,7 @@ def at_once(edges: DataFrame) -> DataFrame:
             root = roots(len(nodes), num[: len(a)], num[len(a) :])
             yield pa.RecordBatch.from_pydict({"v": pa.array(nodes, pa.int64()), "to": pa.array(nodes[root], pa.int64())})
 
-    return edges.select("a", "b").coalesce(1).mapInArrow(run, "v long, to long")
+    return edges.select("a", "b").coalesce(1).mapInArrow(frugal("components", run), "v long, to long")
 
 
 def components(edges: DataFrame, work: Workspace, most_rounds: int = 60, at_most: int = AT_ONCE) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, admitted, chunks, mix64
+from .common import Workspace, admitted, chunks, frugal, keeps, mix64
 from .components import components
 
 WORDS_PER_GRAM = 5
@@ -74,6 +74,7 @@ def powers(n: int) -> list[np.ndarray]:
     """_odd and its inverse to the powers 0, 1, ... of at least n numbers."""
     if not _powers or len(_powers[0]) < n:
         size = max(n, BLOCK + (1 << 18))
+        keeps("jaccard", _powers.clear)
         _powers[:] = [np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (_odd, _back)]
     return _powers
 
@@ -149,7 +150,7 @@ def profile(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 packed = zlib.compress(part.tobytes(), 1)
                 yield pa.RecordBatch.from_pydict({key: [None], "size": [None], "sig": [None], "slice": [n], "counts": [packed]}, schema=schema)
 
-    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, f"{key} long, size long, sig long, slice int, counts binary")
+    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(frugal("jaccard", run), f"{key} long, size long, sig long, slice int, counts binary")
 
 
 def total_sketch(parts: DataFrame) -> np.ndarray:
@@ -164,7 +165,7 @@ def total_sketch(parts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"slice": pa.array([n], pa.int32()), "counts": pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())})
 
     out = np.zeros((SKETCH // SLICE, SLICE))
-    for r in parts.select("slice", "counts").repartition("slice").mapInArrow(run, "slice int, counts binary").toLocalIterator():
+    for r in parts.select("slice", "counts").repartition("slice").mapInArrow(frugal("jaccard", run), "slice int, counts binary").toLocalIterator():
         out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return out.ravel()
 
@@ -220,7 +221,7 @@ def postings(docs: DataFrame, level: np.ndarray, light: int, percent: int, text:
             columns = {"list": np.concatenate(lists).view(np.int64), "sig": sig[of_set].view(np.int64), "size": size[of_set].astype(np.int32), "place": np.concatenate(places).astype(np.int32)}
             yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
-    return docs.select(text).mapInArrow(run, "list long, sig long, size int, place int")
+    return docs.select(text).mapInArrow(frugal("jaccard", run), "list long, sig long, size int, place int")
 
 
 def leaders(same: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
@@ -271,7 +272,7 @@ def shared_lists(post: DataFrame, percent: int) -> DataFrame:
             yield out(held, leaders(same, held[2], percent), same)
 
     ordered = post.repartition("list").sortWithinPartitions("list", "size", "sig")
-    return ordered.mapInArrow(run, "list long, sig long, size int, place int, sig0 long, size0 int, place0 int")
+    return ordered.mapInArrow(frugal("jaccard", run), "list long, sig long, size int, place int, sig0 long, size0 int, place0 int")
 
 
 def could_link(a: str, b: str, percent: int) -> str:
@@ -355,7 +356,7 @@ class Join:
                         out[k].append(v)
                 yield pa.RecordBatch.from_pydict(out, schema=COMPARED)
 
-        found = work.keep(rows.mapInArrow(run, "a long, b long, both long, size_a long, size_b long, apart array<long>"))
+        found = work.keep(rows.mapInArrow(frugal("jaccard", run), "a long, b long, both long, size_a long, size_b long, apart array<long>"))
         work.drop(pairs, ids, texts)
         return found
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import chunks, frugal
 
 TRAIN_DOCUMENTS = 2000
 BUCKETS = 1 << 15
@@ -214,7 +214,7 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCUMENTS, text: str =
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()), "n": pa.array(s[at], pa.int64())})
 
-    seen = labelled.filter(keep).select(text, lang).mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    seen = labelled.filter(keep).select(text, lang).mapInArrow(frugal("langid", count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     n = np.zeros((BUCKETS, len(languages)))
     got = seen.toPandas()
     n[got["bucket"].to_numpy(), [languages.index(x) for x in got["lang"]]] = got["n"]
@@ -247,7 +247,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
     fields = [docs.schema[c] for c in keep]
     rows = docs.select(*dict.fromkeys([*keep, text]))
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("shares", T.MapType(T.StringType(), T.DoubleType()))]))
+    return rows.mapInArrow(frugal("langid", run), T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("shares", T.MapType(T.StringType(), T.DoubleType()))]))
 
 
 def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str = "lang", fill: bool = False) -> DataFrame:
@@ -264,7 +264,7 @@ def keep_identified(docs: DataFrame, least: float, text: str = "text", lang: str
             t = t.set_column(at, t.schema.field(at), pa.array(named, t.schema.field(at).type))
             yield from t.filter(pa.array([p != "und" and s >= least and f for p, s, f in zip(pred, score, fits.tolist(), strict=True)], pa.bool_())).to_batches()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal("langid", run), docs.schema)
 
 
 def predict_all(docs: DataFrame) -> DataFrame:

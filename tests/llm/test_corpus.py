@@ -601,3 +601,16 @@ def test_pipeline_stages_chain(spark):
             assert all(c == i for i, (_, c) in comp.items())
     last = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
     assert last.count() == docs.count() > 0
+
+
+def test_workers_let_go_of_what_another_operator_kept(spark, monkeypatch):
+    d, tasks = table(spark, DATA, "documents").limit(20), []
+    real = type(d).mapInArrow
+    monkeypatch.setattr(type(d), "mapInArrow", lambda self, f, schema: tasks.append(f) or real(self, f, schema))
+    coded, told = bpe.digests(d, BPE), jaccard.profile(d, "doc_id", "text", 5)
+    batches = lambda: iter(d.select("doc_id", "text").toArrow().to_batches())
+    assert sum(b.num_rows for b in tasks[0](batches())) == 20 and bpe._encoders and coded.count() == 20
+    again = bpe.encoder(BPE)
+    assert list(tasks[0](batches())) and bpe.encoder(BPE) is again  # its own next task still has it
+    assert list(tasks[1](batches())) and not bpe._encoders and jaccard._powers and told.filter("slice IS NULL").count() == 20
+    assert list(tasks[0](batches())) and bpe._encoders and not jaccard._powers
